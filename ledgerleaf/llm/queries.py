@@ -9,13 +9,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, langid, media, mixing, rules, token_counts
+from . import bpe, html, langid, media, mixing, rules, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_progressive_jpeg": media.op2_progressive_jpeg,
     "op3_weighted_mixing": mixing.op3_weighted_mixing,
     "op5_main_text": html.op5_main_text,
+    "op6_simhash": simhash.op6_simhash,
     "op7_language": langid.op7_language,
     "op8_quality_rules": rules.op8_quality_rules,
     "op9_byte_bpe": bpe.op9_byte_bpe,
