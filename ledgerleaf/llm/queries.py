@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, langid, media, mixing, rules, simhash, token_counts
+from . import bpe, html, langid, lines, media, mixing, rules, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -20,8 +20,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language": langid.op7_language,
     "op8_quality_rules": rules.op8_quality_rules,
     "op9_byte_bpe": bpe.op9_byte_bpe,
+    "op10_line_dedup": lines.op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_weighted_mixing": mixing.ORACLE_SQL,
+    "op10_line_dedup": lines.ORACLE_SQL,
 }
