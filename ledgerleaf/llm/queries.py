@@ -9,12 +9,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, langid, lines, media, mixing, rules, simhash, token_counts
+from . import bpe, html, langid, lines, media, mixing, rules, simhash, suffix, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_progressive_jpeg": media.op2_progressive_jpeg,
     "op3_weighted_mixing": mixing.op3_weighted_mixing,
+    "op4_repeated_passages": suffix.op4_repeated_passages,
     "op5_main_text": html.op5_main_text,
     "op6_simhash": simhash.op6_simhash,
     "op7_language": langid.op7_language,
