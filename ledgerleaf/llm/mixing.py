@@ -47,9 +47,8 @@ def source_targets(sizes: DataFrame, share: float = 1.5, cap: float = 2.0, weigh
         by_ratio.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     )
     # The level is the one that the first source not stopped by its cap sees; sources before it are stopped.
-    found = ranked.withColumn("level", level).withColumn(
-        "level", F.min(F.when(F.col("ratio") > F.col("level"), F.col("level"))).over(Window.partitionBy(F.lit(0)))
-    )
+    first = F.min(F.when(F.col("ratio") > F.col("level"), F.struct("ratio", F.col("source").isNull().alias("no_source"), "source", "level")))
+    found = ranked.withColumn("level", level).withColumn("level", first.over(Window.partitionBy(F.lit(0)))["level"])
     stopped = F.lit(cap) * F.col("source_size")
     return found.select(
         "source", "source_size", "weight",
@@ -162,7 +161,7 @@ WITH d AS (
   SELECT *, (1.5::DOUBLE * total - 2.0::DOUBLE * coalesce(sum(source_size) OVER (ORDER BY ratio, source NULLS LAST
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT)
          / (sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS seen FROM r
-), m AS (SELECT *, min(CASE WHEN ratio > seen THEN seen END) OVER () AS level FROM l
+), m AS (SELECT *, (SELECT seen FROM l WHERE ratio > seen ORDER BY ratio, source NULLS LAST LIMIT 1) AS level FROM l
 ), t AS (
   SELECT source, source_size, total,
          CASE WHEN level IS NULL OR ratio <= level THEN 2.0::DOUBLE * source_size ELSE level * weight END AS target FROM m
