@@ -118,11 +118,13 @@ class Huffman:
 
     @classmethod
     def for_symbols(cls, symbols: list[int]) -> Huffman:
-        """Codes of 1, 2, 3... bits for up to 8 symbols, most frequent first, then of 16; all-ones stays free."""
-        if len(symbols) > 8:
-            head, tail = symbols[:7], symbols[7:]
-            return cls(tuple([1] * 7 + [0] * 8 + [len(tail)]), bytes(head + tail))
-        return cls(tuple([1] * len(symbols) + [0] * (16 - len(symbols))), bytes(symbols))
+        """One code of 1 bit, or codes of 4 bits for up to 15 symbols, or of 8 and 16; a code of ones stays free."""
+        if len(symbols) == 1:
+            return _known((1, *[0] * 15), bytes(symbols))
+        order = sorted(symbols)
+        if len(order) <= 15:
+            return _known((0, 0, 0, len(order), *[0] * 12), bytes(order))
+        return _known((*[0] * 7, min(len(order), 127), *[0] * 7, max(0, len(order) - 127)), bytes(order))
 
 
 @lru_cache(256)
@@ -212,8 +214,7 @@ class Writer:
             columns.append(np.diff(shifted, prepend=0).reshape(dc.shape))
         diff = np.concatenate(columns, axis=1).ravel().astype(np.int64)
         sizes = _sizes(diff)
-        kinds = [int(k) for k in np.argsort(-np.bincount(sizes, minlength=1), kind="stable") if (sizes == k).any()]
-        table = Huffman.for_symbols(kinds)
+        table = Huffman.for_symbols(np.flatnonzero(np.bincount(sizes)).tolist())
         codes, lengths = np.zeros(16, np.int64), np.zeros(16, np.int64)
         for s, (c, n) in table.codes.items():
             codes[s], lengths[s] = c, n
@@ -241,8 +242,7 @@ class Writer:
             flat = shifted.ravel().astype(np.int64)
             sizes = _sizes(flat)
             counts = np.bincount(sizes)
-            kinds = [int(s) for s in np.argsort(-counts, kind="stable") if counts[s]]
-            table = Huffman.for_symbols(kinds)
+            table = Huffman.for_symbols(np.flatnonzero(counts).tolist())
             codes, lengths = np.zeros(16, np.int64), np.zeros(16, np.int64)
             for s, (c, n) in table.codes.items():
                 codes[s], lengths[s] = c, n
@@ -269,13 +269,7 @@ class Writer:
 
     @staticmethod
     def _coded(symbols: list[int], extra: list[int], sizes: list[int]) -> tuple[Huffman, bytes]:
-        from collections import Counter
-
-        order = [s for s, _ in Counter(symbols).most_common()]
-        # At most 127 codes of 8 bits and the rest of 16: room for all symbols.
-        counts = [0] * 16
-        counts[7], counts[15] = min(len(order), 127), max(0, len(order) - 127)
-        table = Huffman(tuple(counts), bytes(order))
+        table = Huffman.for_symbols(list(set(symbols)))
         codes = np.array([table.codes[s] for s in symbols], np.int64).reshape(-1, 2)
         e, n = np.array(extra, np.int64), np.array(sizes, np.int64)
         return table, _pack(codes[:, 0] << n | e, codes[:, 1] + n)
@@ -316,10 +310,7 @@ class Writer:
                                 run, pending = 0, []
                 if run or pending:
                     symbols.append(0), extra.append(0), sizes.append(0), tails.append(pending)
-            order = sorted(set(symbols))
-            counts = [0] * 16
-            counts[7], counts[15] = min(len(order), 127), max(0, len(order) - 127)
-            table = Huffman(tuple(counts), bytes(order))
+            table = Huffman.for_symbols(list(set(symbols)))
             vals, lens = [], []
             for s, e, n, tail in zip(symbols, extra, sizes, tails, strict=True):
                 code, length = table.codes[s]
@@ -329,6 +320,18 @@ class Writer:
         self._scan(out, image, [k], start, end, 1, 0, data, table)
 
 
+@lru_cache(64)
+def _places(wide: int, high: int, sampling: tuple[tuple[int, int], ...]) -> np.ndarray:
+    """(component of the scan, row, column) of each block of a scan of ``wide`` x ``high`` units, in order."""
+    unit = np.array([(k, y, z, down, across) for k, (across, down) in enumerate(sampling) for y in range(down) for z in range(across)], np.int64)
+    r, x = np.divmod(np.arange(wide * high), max(1, wide))
+    out = np.empty((wide * high, len(unit), 3), np.int64)
+    out[:, :, 0] = unit[:, 0]
+    out[:, :, 1] = r[:, None] * unit[:, 3] + unit[:, 1]
+    out[:, :, 2] = x[:, None] * unit[:, 4] + unit[:, 2]
+    return out.reshape(-1, 3)
+
+
 class Reader:
     """Reads a progressive (or sequential, Huffman-coded, 8-bit) JPEG into an ``Image`` of coefficients."""
 
@@ -405,37 +408,28 @@ class Reader:
                 pos += 2
         pieces.append(data[piece_at:end])
         pieces = [p.replace(b"\xff\x00", b"\xff") for p in pieces]
+        first = parts[0][0]
         if n == 1:
-            c = parts[0][0]
-            order = c.blocks[: c.own_high, : c.own_wide]
-            where = [(0, r, x) for r in range(c.own_high) for x in range(c.own_wide)] if not (self.progressive and start) else None
-            units = c.own_high * c.own_wide
-            if where is None:
+            if self.progressive and start:
                 # One component's AC band: the blocks in order, in one array.
-                flat = np.ascontiguousarray(order.reshape(-1, 64))
-                step = self.restart or units
+                flat = np.ascontiguousarray(first.blocks[: first.own_high, : first.own_wide].reshape(-1, 64))
+                step = self.restart or len(flat)
                 for k, piece in enumerate(pieces):
-                    if k * step < units:
-                        self._band(flat[k * step : min(units, (k + 1) * step)], Bits(piece), parts[0][2], start, stop, approx >> 4, approx & 15)
-                c.blocks[: c.own_high, : c.own_wide] = flat.reshape(c.own_high, c.own_wide, 64)
+                    if k * step < len(flat):
+                        self._band(flat[k * step : (k + 1) * step], Bits(piece), parts[0][2], start, stop, approx >> 4, approx & 15)
+                first.blocks[: first.own_high, : first.own_wide] = flat.reshape(first.own_high, first.own_wide, 64)
                 return end
-            per_unit = 1
+            where, per_unit = _places(first.own_wide, first.own_high, ((1, 1),)), 1
         else:
-            first = parts[0][0]
-            wide, high = first.wide // first.across, first.high // first.down
-            where = [
-                (k, r * c.down + y, x * c.across + z)
-                for r in range(high) for x in range(wide) for k, (c, _, _) in enumerate(parts) for y in range(c.down) for z in range(c.across)
-            ]
-            units, per_unit = wide * high, sum(c.across * c.down for c, _, _ in parts)
-        step = (self.restart or units) * per_unit
+            where = _places(first.wide // first.across, first.high // first.down, tuple((c.across, c.down) for c, _, _ in parts))
+            per_unit = sum(c.across * c.down for c, _, _ in parts)
+        step = self.restart * per_unit or max(1, len(where))
         for k, piece in enumerate(pieces):
             self._units(where[k * step : (k + 1) * step], parts, Bits(piece), approx >> 4, approx & 15)
         return end
 
-    def _units(self, where: list, parts: list, bits: Bits, high: int, low: int) -> None:
+    def _units(self, by: np.ndarray, parts: list, bits: Bits, high: int, low: int) -> None:
         """DC scans, and all of a sequential file's."""
-        by = np.array(where, np.int64).reshape(-1, 3)
         if self.progressive and high:
             values = bits.bits[: len(by)].astype(np.int32) << low
             for k, (c, _, _) in enumerate(parts):
@@ -460,7 +454,7 @@ class Reader:
                 m = by[:, 0] == k
                 c.blocks[by[m, 1], by[m, 2], 0] = values[m]
             return
-        for k, r, x in where:
+        for k, r, x in by.tolist():
             c, dc, ac = parts[k]
             size = dc.read(bits)
             before[k] += _extend(bits.read(size), size)
