@@ -8,6 +8,7 @@ consist of, are read by numpy in one step; all else symbol by symbol.
 
 from __future__ import annotations
 
+import re
 import struct
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
@@ -19,6 +20,8 @@ ZIGZAG = np.array(
     [i for _, i in sorted(((r + c, (r if (r + c) % 2 else c)), 8 * r + c) for r in range(8) for c in range(8))]
 )
 _SCALE = 1 << 13
+#: A marker that ends a scan: neither a stuffed byte nor a restart.
+_MARKER = re.compile(rb"\xff[^\x00\xd0-\xd7]")
 
 
 def _basis() -> np.ndarray:
@@ -383,16 +386,8 @@ class Reader:
         return self.image
 
     def _scan(self, head: bytes, data: bytes, at: int) -> int:
-        end = at
-        while True:
-            end = data.find(b"\xff", end)
-            if end < 0 or end + 1 >= len(data):
-                end = len(data)
-                break
-            if data[end + 1] == 0 or 0xD0 <= data[end + 1] <= 0xD7:
-                end += 2
-                continue
-            break
+        found = _MARKER.search(data, at)
+        end = found.start() if found else len(data)
         n = head[0]
         parts = []
         for k in range(n):
