@@ -241,12 +241,14 @@ def training_documents(docs: DataFrame, per_language: int, id_col: str = "doc_id
     allowed = docs.where(F.col("lang").isNotNull() & (_bucket(id_col) % 4 != 2)).select(
         "lang", "text", F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("place")
     )
-    counts = allowed.groupBy("lang").agg(F.count("*").alias("n"))
-    # Twice the wanted share passes the hash first, so that the exact cut sorts a bounded number of rows.
+    counts = allowed.groupBy("lang").count().collect()  # a row per language, as there is a model per language
+    # Twice the wanted share passes the hash first, where the text is read, so that only a bounded number of rows is
+    # sorted for the exact cut.
     draw = F.conv(F.substring("place", 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
+    shares = [F.lit(x) for r in counts for x in (r["lang"], 2.0 * per_language / r["count"])]
+    share = F.element_at(F.create_map(*shares), F.col("lang")) if shares else F.lit(0.0)
     return (
-        allowed.join(counts, "lang")
-        .where(draw < 2.0 * per_language / F.col("n"))
+        allowed.where(draw < share)
         .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("place", F.xxhash64("text"))))
         .where(F.col("rank") <= per_language)
         .select("lang", "text", (F.col("rank") % 5).alias("part"))
