@@ -316,14 +316,24 @@ def without_repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = LEA
     is one, ``n_chars``. Every row stays, if with an empty text; a null text stays null."""
     _, removed = removed_lines(docs, edits, least)
     gone = removed.groupBy("doc").agg(F.collect_set("line").alias("_gone"))
-    split = F.split("text", "\n", -1)
-    left = F.array_join(F.transform(F.filter(F.arrays_zip(split.alias("t"), F.sequence(F.lit(0).cast("long"), F.size(split).cast("long") - 1).alias("n")), lambda x: ~F.array_contains(F.col("_gone"), x["n"])), lambda x: x["t"]), "\n")
-    joined = docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)) == F.col("doc"), "left")
-    text = F.when(F.col("_gone").isNull() | F.col("text").isNull(), F.col("text")).otherwise(left)
-    columns = {c: F.col(f"`{c}`") for c in docs.columns} | {"text": text}
-    if "n_chars" in columns:
-        columns["n_chars"] = F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType)
-    return joined.select(*(c.alias(n) for n, c in columns.items()))
+    kept = docs.columns
+    joined = docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)) == F.col("doc"), "left").select(*(docs[f"`{c}`"] for c in kept), "_gone")
+    text_at, chars_at = kept.index("text"), kept.index("n_chars") if "n_chars" in kept else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *columns, lost = batch.columns
+            texts = columns[text_at].to_pylist()
+            changed = {k: set(g) for k, g in enumerate(lost.to_pylist()) if g and texts[k] is not None}
+            for k, numbers in changed.items():
+                texts[k] = "\n".join(x for n, x in enumerate(texts[k].split("\n")) if n not in numbers)
+            columns[text_at] = pa.array(texts, columns[text_at].type)
+            if chars_at is not None and pa.types.is_integer(columns[chars_at].type):
+                counts = columns[chars_at].to_pylist()
+                columns[chars_at] = pa.array([len(texts[k]) if k in changed else n for k, n in enumerate(counts)], columns[chars_at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=kept)
+
+    return joined.mapInArrow(run, docs.schema)
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
