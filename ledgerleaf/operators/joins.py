@@ -30,6 +30,14 @@ def as_of(left: DataFrame, right: DataFrame, on: Sequence[str], at: str, valid_f
     return carried.select("_row.*", F.col("_last._from").alias(valid_from), *(F.col(f"_last.{b}").alias(b) for b in bring))
 
 
+def newest_edition(left: DataFrame, editions: DataFrame, on: Sequence[str], at: str, since: str) -> DataFrame:
+    """Each left row with ``since`` of the newest edition of its key that is not after it. For few editions per key, as of
+    rules and forms: they are one array per key, and the left rows, however many a key has, are not sorted."""
+    dates = editions.groupBy(*on).agg(F.array_sort(F.collect_set(since)).alias("_dates"))
+    usable = F.filter("_dates", lambda d: d <= F.col(at))
+    return left.join(dates, list(on), "left").withColumn(since, F.try_element_at(usable, F.lit(-1))).drop("_dates")
+
+
 def unique_match(left: DataFrame, right: DataFrame, on: Sequence[str], key: str, bring: str) -> DataFrame:
     """Left rows with ``bring`` and ``match``: MATCHED if exactly one right row has the key, AMBIGUOUS if more, else
     NO_CANDIDATE. The count is taken per key before the join."""

@@ -13,7 +13,10 @@ from .operators import aggregates as a
 from .operators import grounding as g
 from .operators import intervals as iv
 from .operators import joins as j
+from .operators import layout as ly
 from .operators import lines as ln
+from .operators import matching as mc
+from .operators import metrics as mt
 from .operators import rules as r
 from .operators import storage as st
 from .sources import payloads as src
@@ -494,6 +497,92 @@ def e1_e2_replies(spark, d):
     return rows.select("conv_id", "turn", F.try_variant_get("v", "$.status", "string").alias("status"), F.explode(g.reply_errors(F.col("v"))).alias("error"))
 
 
+# Layout, matching, metrics ----------------------------------------------------------------------------------------------
+
+
+@query("""SELECT doc_id, words, sentences, words / sentences AS asl FROM (SELECT doc_id, len(regexp_extract_all(text, '\\S+'))::BIGINT AS words,
+greatest(len(regexp_extract_all(regexp_replace(text, '[0-9][.!?]', '0', 'g'), '[.!?。](\\s|$)')), 1)::BIGINT AS sentences FROM documents WHERE regexp_matches(text, '\\S') AND NOT regexp_matches(text, '[.!?][.!?]\\s|[^\\x00-\\x7F]'))""")
+def a22_sentence_length(spark, d):
+    docs = read(spark, d, "documents").where(F.col("text").rlike(r"\S") & ~F.col("text").rlike(r"[.!?][.!?]\s|[^\x00-\x7F]"))
+    return mt.sentence_length(docs, "doc_id", "text")
+
+
+@query("""SELECT doc_id, count(DISTINCT w) AS kinds, count(DISTINCT CASE WHEN length(w) > 9 THEN w END) AS hard_kinds, count(DISTINCT CASE WHEN length(w) > 9 THEN w END) / count(DISTINCT w) AS density
+FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM documents) GROUP BY doc_id""")
+def a23_term_density(spark, d):
+    tokens = read(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), 1)).alias("w"))
+    hard = tokens.where(F.length("w") > 9).select(F.col("w").alias("term")).distinct()
+    return mt.term_density(tokens, "doc_id", "w", hard)
+
+
+@query("""SELECT o_custkey, len(list_filter(['F', 'O', 'P'], lambda x: NOT list_contains(s, x))) / 3 AS missing FROM (SELECT o_custkey, list(DISTINCT o_orderstatus) AS s FROM orders GROUP BY o_custkey)""")
+def a24_missing_share(spark, d):
+    found = read(spark, d, "orders").groupBy("o_custkey").agg(F.collect_set("o_orderstatus").alias("s"))
+    return found.select("o_custkey", mt.missing_share(F.col("s"), F.array(F.lit("F"), F.lit("O"), F.lit("P"))).alias("missing"))
+
+
+@query("""SELECT c_custkey, w AS weight, w * c_acctbal + (1 - w) * c_nationkey AS score FROM customer, (VALUES (0.3::DOUBLE), (0.4), (0.5), (0.6), (0.7)) v(w)""")
+def a26_sensitivity(spark, d):
+    return mt.sensitivity(read(spark, d, "customer"), "c_custkey", "c_acctbal", "c_nationkey")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'CONFIRMED_ACTIVE' WHEN e <= b OR s > b THEN 'CONFIRMED_INACTIVE' WHEN s <= b AND b < e THEN 'CONFIRMED_ACTIVE' ELSE 'UNKNOWN' END AS status
+FROM (SELECT o_orderkey, DATE '1997-01-01' AS b, o_orderdate::DATE AS s, CASE WHEN o_orderkey % 3 > 0 THEN o_orderdate::DATE + 300 END AS e FROM orders)""")
+def x6_sale_status(spark, d):
+    start = F.to_date("o_orderdate")
+    end = F.when(F.col("o_orderkey") % 3 > 0, F.date_add(start, 300))
+    return read(spark, d, "orders").select("o_orderkey", mc.sale_status(F.lit("1997-01-01").cast("date"), start, end, F.col("o_orderkey") % 5 == 0).alias("status"))
+
+
+@query("""SELECT confidence, CASE confidence WHEN 'KRX_CONFIRMED' THEN true WHEN 'NOT_ETF' THEN false END AS is_etf, count(*) AS n FROM (
+SELECT CASE WHEN p_size < 10 THEN 'KRX_CONFIRMED' WHEN p_size < 20 THEN 'NOT_ETF' WHEN p_size < 30 THEN 'NAME_ONLY' ELSE 'PENDING' END AS confidence FROM part) GROUP BY ALL""")
+def x3_etf_confidence(spark, d):
+    size = F.col("p_size")
+    state = mc.etf_confidence(size < 10, size < 20, F.when(size < 30, "가상장지수").otherwise("x"))
+    return read(spark, d, "part").select(state.alias("confidence")).groupBy("confidence", mc.is_etf(F.col("confidence")).alias("is_etf")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT reason, count(*) AS n FROM (SELECT CASE WHEN text IS NULL THEN 'NO_TEXT' WHEN length(text) < 500 THEN 'SHORT' WHEN lang <> 'en' THEN 'LANGUAGE' ELSE 'KEPT' END AS reason FROM documents) GROUP BY reason""")
+def x8_exclusions(spark, d):
+    reasons = [("NO_TEXT", F.col("text").isNull()), ("SHORT", F.length("text") < 500), ("LANGUAGE", F.col("lang") != "en")]
+    kept, out = mc.exclusions(read(spark, d, "documents"), "doc_id", reasons)
+    return out.select("reason").unionByName(kept.select(F.lit("KEPT").alias("reason"))).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT doc_id, 'PROSPECTUS' AS role, n_chars AS scope FROM documents UNION ALL SELECT doc_id, 'SIMPLE', 100 FROM documents WHERE n_chars > 1000""")
+def x9_roles(spark, d):
+    return mc.roles(read(spark, d, "documents").select("doc_id", "n_chars"), F.when(F.col("n_chars") > 1000, F.lit(100).cast("long")), F.col("n_chars")).drop("n_chars")
+
+
+@query("""SELECT o_orderkey, u.item, CASE WHEN u.item = 'paid' THEN (CASE WHEN o_orderstatus = 'F' THEN 'MET' ELSE 'UNMET' END) ELSE (CASE WHEN o_orderstatus = 'P' THEN 'NOT_APPLICABLE' WHEN o_totalprice > 100000 THEN 'MET' ELSE 'UNDETERMINED' END) END AS verdict
+FROM orders, (VALUES ('paid'), ('large')) u(item)""")
+def x11_checklist(spark, d):
+    items = {"paid": (F.lit(True), F.col("o_orderstatus") == "F"), "large": (F.col("o_orderstatus") != "P", F.when(F.col("o_totalprice") > 100000, True))}
+    return mc.checklist(read(spark, d, "orders"), "o_orderkey", items)
+
+
+@query("""SELECT c_custkey, (SELECT max(d) FROM (VALUES (DATE '1994-06-01'), (DATE '1996-01-01'), (DATE '1997-07-01')) v(d) WHERE d <= day)::VARCHAR AS edition FROM (SELECT o_custkey AS c_custkey, min(o_orderdate)::DATE AS day FROM orders GROUP BY o_custkey)""")
+def x10_applicable_edition(spark, d):
+    first = read(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.to_date(F.min("o_orderdate")).alias("day")).withColumn("form", F.lit("x"))
+    editions = spark.createDataFrame([("x", "1994-06-01"), ("x", "1996-01-01"), ("x", "1997-07-01")], "form string, d string").select("form", F.col("d").cast("date").alias("since"))
+    return j.newest_edition(first, editions, ["form"], "day", "since").select("c_custkey", F.col("since").cast("string").alias("edition"))
+
+
+@query("""SELECT p_partkey, upper(p_brand) AS base, p_size::VARCHAR AS series FROM part""")
+def p21_product_name(spark, d):
+    names = read(spark, d, "part").select("p_partkey", F.concat(F.lit("(주) "), F.upper("p_brand"), F.lit(" 제"), F.col("p_size").cast("string"), F.lit("호 [주식형]")).alias("name"))
+    return mc.product_name(names, "name").select("p_partkey", "base", "series")
+
+
+@query("""SELECT l_orderkey % 50 AS page, b.box, min(i) AS start, max(i) + 1 AS "end" FROM (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice) AS i FROM lineitem) l
+JOIN (SELECT unnest(range(4)) AS box) b ON l_quantity >= b.box * 13 AND l_quantity < b.box * 13 + 10 AND l_tax * 1000 >= 0 AND l_tax * 1000 < 40 GROUP BY ALL""")
+def t25_glyphs_in_boxes(spark, d):
+    number = F.row_number().over(Window.orderBy("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"))
+    glyphs = read(spark, d, "lineitem").select((F.col("l_orderkey") % 50).alias("page"), number.alias("idx"), F.col("l_quantity").alias("x0"), F.col("l_quantity").alias("x1"), (F.col("l_tax") * 1000).alias("top"), (F.col("l_tax") * 1000).alias("bottom"))
+    boxes = spark.range(4).select(F.col("id").alias("box"), (F.col("id") * 13.0).alias("x0"), F.lit(0.0).alias("top"), (F.col("id") * 13.0 + 10).alias("x1"), F.lit(40.0).alias("bottom"))
+    return ly.glyphs_in_boxes(glyphs, boxes.crossJoin(spark.range(50).select(F.col("id").alias("page"))), ["page"], 7.0)
+
+
 def entry(spark: SparkSession, d: str) -> DataFrame:
     """The flagship: short lines of each document as headings, with the ranges that they open."""
     return t14_heading_ranges(spark, d)

@@ -149,3 +149,84 @@ def test_streaming_sink_takes_a_batch_twice(spark, tmp_path):
         stream = spark.readStream.schema("id long").parquet(folder)
         idempotent_sink(stream, out, str(tmp_path / "checkpoint"), ["id"]).awaitTermination()
         assert sorted(r.id for r in spark.read.parquet(out).collect()) == [[1, 2], [1, 2, 3]][n]
+
+
+def test_layout(spark):
+    from ledgerleaf.operators import layout
+
+    df = spark.createDataFrame([("\n a  \nb\r \n\n",), ("  \n",)], "x string")
+    assert [r[0] for r in df.select(layout.trimmed_page(F.col("x"))).collect()] == [" a\nb\n", ""]
+    text, styles = "ab cd\ne", "BB-BBBB"
+    chars = spark.createDataFrame([(1, i, c, None if i == 4 else s) for i, (c, s) in enumerate(zip(text, styles, strict=True))], "p int, i int, c string, s string")
+    assert rows(layout.style_runs(chars, ["p"], "i", "c", "s").select("start", "end")) == [(0, 4), (6, 7)]
+    marks = spark.createDataFrame([(1, 0, "제1부 가"), (1, 1, "1. 나"), (1, 2, "note"), (2, 0, "note")], "k int, no int, title string")
+    sections = spark.createDataFrame([(1, 1, "1"), (1, 2, "7")], "k int, part int, number string")
+    got = {r.k: (r.bookmark_parts, r.bookmark_sections, r.matched_parts, r.matched_sections, r.rule_parts, r.rule_sections) for r in layout.bookmark_agreement(marks, sections, "k").collect()}
+    assert got == {1: (1, 1, 1, 1, 2, 2), 2: (0, 0, 0, 0, 0, 0)}
+    both = layout.blocks({"table": spark.createDataFrame([(1, 0, 5, True)], "k int, start int, end int, t boolean"), "label": spark.createDataFrame([(1, 2, 3, "x")], "k int, start int, end int, l string")}, "k")
+    assert [r.kind for r in both.orderBy("start", "end", "kind").collect()] == ["table", "label"]
+
+
+def test_names_and_held_matches(spark):
+    from ledgerleaf.operators import matching
+
+    names = spark.createDataFrame([("㈜ 가나 은행 강남지점",), ("옛이름(주)",)], "n string")
+    former = spark.createDataFrame([("옛이름 주식회사", "새이름")], "former string, current string")
+    assert sorted(r.entity for r in matching.entity_name(names, "n", former).collect()) == ["가나은행", "새이름"]
+    found = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "z"), ("d", "z"), ("e", "w")], "k string, t string")
+    earlier = spark.createDataFrame([("b", "q", "person"), ("other", "x", "rule")], "k string, t string, by string")
+    got = {r.k: (r.t, r.status) for r in matching.held_matches(found, earlier, "k", "t").collect()}
+    assert got == {"a": (None, "HELD"), "b": ("q", "CONFIRMED"), "c": (None, "HELD"), "d": (None, "HELD"), "e": ("w", "MATCHED")}
+
+
+def test_notices_collapse_only_when_ad_hoc(spark):
+    from ledgerleaf.operators import matching
+
+    df = spark.createDataFrame([(True, "f", "A"), (True, "f", "C"), (False, "g", "A"), (False, "g", "C")], "ad boolean, file string, cls string")
+    assert rows(matching.collapsed_notices(df, F.col("ad"), ["file"], "cls").select("file", "classes")) == [("f", ["A", "C"]), ("g", ["A"]), ("g", ["C"])]
+
+
+def test_binary_sources(spark):
+    import io
+    import zipfile
+
+    from ledgerleaf.sources import binary
+
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        z.writestr("a.xml", "abc")
+    df = spark.createDataFrame([(bytearray(buffer.getvalue()),), (bytearray("가나".encode("euc-kr")),), (None,)], "c binary")
+    got = df.select(binary.archive_entries("c").alias("z"), binary.document_text("c").alias("t"), binary.korean_text("c").alias("k")).collect()
+    assert [tuple(x) for x in got[0].z] == [("a.xml", 3)] and got[1].z is None and got[1].k == "가나" and got[2].k is None
+    assert all(r.t is None for r in got)
+
+
+def compound_file(name: str, content: bytes) -> bytes:
+    """A compound file of one large stream: header, table, directory, content."""
+    import struct
+
+    sectors = -(-len(content) // 512)
+    table = [0xFFFFFFFD, 0xFFFFFFFE] + [*range(3, 2 + sectors), 0xFFFFFFFE]
+    head = bytes.fromhex("d0cf11e0a1b11ae1") + b"\0" * 22 + struct.pack("<HH", 9, 6) + b"\0" * 10
+    head += struct.pack("<II", 1, 1) + struct.pack("<IIIIII", 0, 0, 0xFFFFFFFE, 0, 0xFFFFFFFE, 0) + struct.pack("<109I", 0, *[0xFFFFFFFF] * 108)
+    head = head[:44] + struct.pack("<II", 1, 1) + struct.pack("<IIIIII", 0, 0, 0xFFFFFFFE, 0, 0xFFFFFFFE, 0) + struct.pack("<109I", 0, *[0xFFFFFFFF] * 108)
+
+    def entry(n: str, kind: int, start: int, size: int) -> bytes:
+        raw = n.encode("utf-16-le")
+        return raw.ljust(64, b"\0") + struct.pack("<HB", len(raw) + 2, kind) + b"\0" * 49 + struct.pack("<IQ", start, size)
+
+    directory = entry("Root Entry", 5, 0xFFFFFFFE, 0) + entry(name, 2, 2, len(content))
+    return head.ljust(512, b"\0") + struct.pack(f"<{len(table)}I", *table).ljust(512, b"\xff") + directory.ljust(512, b"\0") + content.ljust(512 * sectors, b"\0")
+
+
+def test_word_processor_text():
+    import struct
+    import zlib
+
+    from ledgerleaf.sources import binary
+
+    text = "가나다\x05라".encode("utf-16-le")
+    record = struct.pack("<I", 67 | len(text) << 20) + text + struct.pack("<I", 1 | 4 << 20) + b"abcd"
+    packer = zlib.compressobj(wbits=-15)
+    raw = packer.compress(record) + packer.flush()
+    assert binary.word_processor_text(compound_file("Section0", raw)) == "가나다라"
