@@ -235,13 +235,16 @@ def repeated_bytes(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, mos
     """``doc, hash, from, to``: all bytes of ``_keyed`` documents that a string standing elsewhere too covers, as
     ranges, which may overlap."""
     anchors = _anchors(keyed, length, gram)
-    groups = anchors.groupBy("g").agg(F.count("*").alias("n"), F.min("s1").alias("low"), F.max("s1").alias("high")).where("n > 1")
-    shared = anchors.join(groups.select(F.col("g").alias("g_"), "low", "high"), F.col("g") == F.col("g_"))
+    groups = anchors.groupBy("g").agg(F.count("*").alias("n")).where("n > 1")
+    # Written before they are joined, so that the join's partitions, not the counts', can be split where one is large.
+    groups = checkpointed(groups.select(F.col("g").alias("g_")))
+    release(keyed.sparkSession)
+    shared = anchors.join(groups, F.col("g") == F.col("g_"))
     shared = checkpointed(shared.select("g", "s1", "s2", "doc", "hash", "at", "before", "least"))
     release(keyed.sparkSession)
     spans = shared.groupBy("g", "s1", "s2").agg(F.count("*").alias("n"), F.min(F.struct("doc", "hash", "at", "before", "least")).alias("one"))
     spans = checkpointed(spans)
-    kinds = spans.groupBy("g").count().where("count > 1").select("g")
+    kinds = checkpointed(spans.groupBy("g").count().where("count > 1").select("g"))
     wanted = spans.join(kinds, "g", "left_semi").select("g", "one.*", (F.col("n") > 1).alias("known"))
     contexts = checkpointed(_contexts(keyed, wanted, length))
     release(keyed.sparkSession)
