@@ -119,6 +119,8 @@ class LanguageModels:
     @classmethod
     def train(cls, word_counts: dict[str, dict[str, int]], order: int = ORDER) -> LanguageModels:
         languages = sorted(word_counts)
+        if not languages:
+            return cls([], order, [], [], [], [], 1.0)
         per = [_count(list(word_counts[x]), np.array(list(word_counts[x].values())), order) for x in languages]
         keys, logs, context_keys, weights = [], [], [], []
         floor = 1.0 / 0x110000  # below the unigrams: any code point

@@ -315,9 +315,9 @@ def without_repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = LEA
     """The rows of ``docs``, all columns as they were but ``text``, from which the repeated lines are gone, and, if there
     is one, ``n_chars``. Every row stays, if with an empty text; a null text stays null."""
     _, removed = removed_lines(docs, edits, least)
-    gone = removed.groupBy("doc").agg(F.collect_set("line").alias("_gone"))
+    gone = removed.groupBy("doc").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("doc", "_line_doc")
     kept = docs.columns
-    joined = docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)) == F.col("doc"), "left").select(*(docs[f"`{c}`"] for c in kept), "_gone")
+    joined = docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)) == F.col("_line_doc"), "left").select(*(docs[f"`{c}`"] for c in kept), "_gone")
     text_at, chars_at = kept.index("text"), kept.index("n_chars") if "n_chars" in kept else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

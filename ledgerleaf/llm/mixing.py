@@ -93,7 +93,7 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[in
 
 def _served(queued: DataFrame, share: float, cap: float) -> DataFrame:
     rounds = [k for k in range(int(-(-cap // 1)))]
-    finish = [(F.col("upto") + k * F.col("source_size")) / F.col("target") for k in rounds]
+    finish = [F.try_divide(F.col("upto") + k * F.col("source_size"), F.col("target")) for k in rounds]  # null for a source without words
     wanted = (F.col("size") > 0) & (F.col("target") > 0)
     entries = queued.where(wanted).select(
         "source", "bin", "place", "doc_id", "copy", "size", F.explode(F.array(*(F.struct(F.lit(k).alias("round"), f.alias("finish")) for k, f in zip(rounds, finish, strict=True)))).alias("e")
