@@ -197,10 +197,11 @@ def fit(stats: DataFrame, labels: DataFrame, sample: int = 20_000, **options) ->
     columns = features()
     rows = (
         stats.join(known.where(draw), "doc_id")
-        .select("doc_id", "quality", *(c.alias(n if n != "n_words" else "f_n_words") for n, c in columns.items()))
-        .dropDuplicates(["doc_id"])
+        .select("doc_id", F.struct("quality", *(c.alias(n) for n, c in columns.items())).alias("row"))
+        .groupBy("doc_id")
+        .agg(F.min("row").alias("row"))  # of rows with equal ids always the same one
+        .select("doc_id", "row.*")
         .toPandas()
-        .rename(columns={"f_n_words": "n_words"})
     )
     if rows.empty:
         return []
