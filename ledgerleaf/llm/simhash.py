@@ -279,9 +279,16 @@ def near_duplicates(docs: DataFrame, distance: int = 3, shingle: int = 3) -> Dat
 def representatives(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns as they were, that stay: of each component the row with the smallest doc_id, of
     rows with equal ids the one with the least text. Rows without an id stay."""
+    near = near_duplicates(docs, **options).where(F.col("doc_id") == F.col("component_id")).select("doc_id")
+    return rows_to_keep(docs, near)
+
+
+def rows_to_keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id ``ids`` (one column) has, of equal ids the one with the least text, and those
+    without an id."""
     from pyspark.sql import Window
 
-    near = near_duplicates(docs, **options).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct()
+    near = ids.toDF("_keep").distinct()
     keep = docs.columns
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first()))
     kept = docs.join(near, F.col("doc_id") == F.col("_keep"), "left_semi").withColumn("_place", place).where("_place = 1")
