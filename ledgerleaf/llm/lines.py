@@ -127,15 +127,22 @@ def _chunks(batches: Iterator[pa.RecordBatch], bytes_at_once: int = 1 << 21) ->
             yield ids, texts
 
 
-def line_hashes(docs: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
-    """``h1, h2, doc, line, size`` of every line of at least ``least`` bytes, and of every document one row with
-    h1 null, its number of lines in ``line`` and its bytes in ``size``. Map-only."""
+def _filled(buffer: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which lines hold a byte other than ASCII white space."""
+    before = np.concatenate([[0], np.cumsum((buffer != 32) & ((buffer < 9) | (buffer > 13)))])
+    return before[starts + sizes] > before[starts]
+
+
+def line_hashes(docs: DataFrame, least: int = LEAST_BYTES, short: bool = False) -> DataFrame:
+    """``h1, h2, doc, line, size`` of every line of at least ``least`` bytes, with ``short`` also of shorter ones that are
+    not blank, and of every document one row with h1 null, its number of lines in ``line`` and its bytes in ``size``.
+    Map-only."""
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc", pa.int64()), ("line", pa.int64()), ("size", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _chunks(batches):
             buffer, starts, sizes, owner, number = _lines(texts)
-            keep = np.flatnonzero(sizes >= least)
+            keep = np.flatnonzero((sizes >= least) | _filled(buffer, starts, sizes) if short else sizes >= least)
             hashes = [Rolling(buffer, f).hashes(starts[keep], sizes[keep]).view(np.int64) for f in (0, 1)]
             ids = np.array(ids, np.int64)
             counts = np.bincount(owner, minlength=len(ids))
@@ -275,11 +282,11 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def removed_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST_BYTES) -> tuple[DataFrame, DataFrame]:
+def removed_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST_BYTES, short: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(all, removed)``: every line of at least ``least`` bytes and every document (see ``line_hashes``), and
     ``doc, line, size, near`` of the lines to take out: those within ``edits`` byte edits of a line at an earlier
-    place, that is of a smaller (doc_id, line number)."""
-    rows = checkpointed(line_hashes(docs, least))  # 40 bytes a line
+    place, that is of a smaller (doc_id, line number). With ``short`` also shorter lines, not blank, that equal one."""
+    rows = checkpointed(line_hashes(docs, least, short))  # 40 bytes a line
     lines = rows.where("h1 is not null")
     firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line")).alias("p"), F.count("*").alias("n"))
     firsts = checkpointed(firsts.select("h1", "h2", F.col("p.doc").alias("doc"), F.col("p.line").alias("line"), "n"))
@@ -311,10 +318,10 @@ def line_report(docs: DataFrame, edits: int = EDITS, least: int = LEAST_BYTES) -
     )
 
 
-def without_repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST_BYTES) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST_BYTES, short: bool = False) -> DataFrame:
     """The rows of ``docs``, all columns as they were but ``text``, from which the repeated lines are gone, and, if there
     is one, ``n_chars``. Every row stays, if with an empty text; a null text stays null."""
-    _, removed = removed_lines(docs, edits, least)
+    _, removed = removed_lines(docs, edits, least, short)
     gone = removed.groupBy("doc").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("doc", "_line_doc")
     kept = docs.columns
     joined = docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)) == F.col("_line_doc"), "left").select(*(docs[f"`{c}`"] for c in kept), "_gone")
