@@ -176,16 +176,19 @@ class LanguageModels:
     def calibrate(self, texts: list[tuple[str, str]], slack: float = 1.25, least: float = 1.0) -> None:
         """Set the rejection limits from texts that the models have not been trained on. A text of n characters
         is rejected if its cross-entropy is beyond the language's mean by more than d + 8 / sqrt(n), where d is
-        ``slack`` times what the calibration texts need, ``least`` at least."""
+        ``slack`` times what the calibration texts need, ``least`` at least. Texts that another language's model wins
+        are left out, as their labels are in doubt, unless a language has no others."""
         kinds = len(self.languages)
         self.mean, self.limit = np.full(kinds, np.inf), np.full(kinds, least)
         scorer, by = Scorer(self), {x: [] for x in self.languages}
         for lang, text in texts:
             if (found := scorer.entropy(text)) is not None:
-                by[lang].append((found[0][self.languages.index(lang)], found[1]))
+                own = self.languages.index(lang)
+                by[lang].append((found[0][own], found[1], found[0].argmin() == own))
         for k, lang in enumerate(self.languages):
             if by[lang]:
-                ce, n = (np.array(x, float) for x in zip(*by[lang], strict=True))
+                won = [x[:2] for x in by[lang] if x[2]] or [x[:2] for x in by[lang]]
+                ce, n = (np.array(x, float) for x in zip(*won, strict=True))
                 self.mean[k] = np.average(ce, weights=n)
                 self.limit[k] = max(least, slack * (ce - self.mean[k] - 8 / np.sqrt(n)).max())
 
