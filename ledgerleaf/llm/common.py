@@ -14,6 +14,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(r"[^ \t-\r]+")
 
 
+#: Where rows without an id stand.
+LAST = (1 << 63) - 1
+
+
+def place_of(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """A row's place: its id (a missing one stands last), then a hash of its text, -1 for none. Rows with equal ids and
+    unlike texts are therefore different documents; rows with equal ids and texts share a place."""
+    th = F.conv(F.substring(F.md5(text_col), 1, 15), 16, 10).cast("long")
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), F.coalesce(th, F.lit(-1))
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """``doc, th, text`` by ``place_of``."""
+    doc, th = place_of("doc_id", "text")
+    return docs.select(doc.alias("doc"), th.alias("th"), "text")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One of the input tables; only Spark opens the path."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

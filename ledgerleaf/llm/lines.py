@@ -20,11 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, read
+from .common import LAST, checkpointed, place_of, placed, read
 from .rolling import Rolling, mix
 
 EDITS, LEAST_BYTES = 2, 20
-_LAST = (1 << 63) - 1
 
 
 def banded_distance(a: bytes, b: bytes, most: int) -> int:
@@ -111,20 +110,20 @@ def _lines(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return buffer, starts, ends - starts, np.repeat(np.array(owners, np.int64), counts), numbers
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], bytes_at_once: int = 1 << 21) -> Iterator[tuple[list, list]]:
-    """(ids, texts) of some texts at once; a long one comes alone."""
+def _chunks(batches: Iterator[pa.RecordBatch], bytes_at_once: int = 1 << 21) -> Iterator[tuple[list, list, list]]:
+    """(ids, text hashes, texts) of some texts at once; a long one comes alone."""
     for batch in batches:
-        ids, texts, have = [], [], 0
-        for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        out: tuple[list, list, list] = ([], [], [])
+        have = 0
+        for i, h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             t = t.as_py()
-            ids.append(_LAST if i is None else i)
-            texts.append(t)
+            out[0].append(i), out[1].append(h), out[2].append(t)
             have += len(t or "")
             if have > bytes_at_once:
-                yield ids, texts
-                ids, texts, have = [], [], 0
-        if ids:
-            yield ids, texts
+                yield out
+                out, have = ([], [], []), 0
+        if out[0]:
+            yield out
 
 
 def _filled(buffer: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -134,24 +133,25 @@ def _filled(buffer: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nda
 
 
 def line_hashes(docs: DataFrame, least: int = LEAST_BYTES, short: bool = False) -> DataFrame:
-    """``h1, h2, doc, line, size`` of every line of at least ``least`` bytes, with ``short`` also of shorter ones that are
-    not blank, and of every document one row with h1 null, its number of lines in ``line`` and its bytes in ``size``.
-    Map-only."""
-    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc", pa.int64()), ("line", pa.int64()), ("size", pa.int64())])
+    """``h1, h2, doc, th, line, size`` of every line of at least ``least`` bytes, with ``short`` also of shorter ones that are
+    not blank, and of every document (as ``placed`` has it) one row with h1 null, its number of lines in ``line`` and its
+    bytes in ``size``. Written to the shared folder with line and size as one number: 48 bytes a line."""
+    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc", pa.int64()), ("th", pa.int64()), ("at", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _chunks(batches):
+        for ids, hashes, texts in _chunks(batches):
             buffer, starts, sizes, owner, number = _lines(texts)
             keep = np.flatnonzero((sizes >= least) | _filled(buffer, starts, sizes) if short else sizes >= least)
-            hashes = [Rolling(buffer, f).hashes(starts[keep], sizes[keep]).view(np.int64) for f in (0, 1)]
-            ids = np.array(ids, np.int64)
+            h = [Rolling(buffer, f).hashes(starts[keep], sizes[keep]).view(np.int64) for f in (0, 1)]
+            ids, hashes = np.array(ids, np.int64), np.array(hashes, np.int64)
             counts = np.bincount(owner, minlength=len(ids))
             nothing = pa.nulls(len(ids), pa.int64())
             size = np.array([len(t.encode()) if t else 0 for t in texts], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes[0]), pa.array(hashes[1]), pa.array(ids[owner[keep]]), pa.array(number[keep]), pa.array(sizes[keep])], schema=schema)
-            yield pa.RecordBatch.from_arrays([nothing, nothing, pa.array(ids), pa.array(counts), pa.array(size)], schema=schema)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, (*h, ids[owner[keep]], hashes[owner[keep]], number[keep] << 32 | sizes[keep]))], schema=schema)
+            yield pa.RecordBatch.from_arrays([nothing, nothing, *map(pa.array, (ids, hashes, counts << 32 | size))], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "h1 long, h2 long, doc long, line long, size long")
+    rows = checkpointed(placed(docs).mapInArrow(run, "h1 long, h2 long, doc long, th long, at long"))
+    return rows.select("h1", "h2", "doc", "th", F.shiftright("at", 32).alias("line"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).alias("size"))
 
 
 def _meeting_keys(docs: DataFrame, edits: int, least: int) -> DataFrame:
@@ -160,7 +160,7 @@ def _meeting_keys(docs: DataFrame, edits: int, least: int) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for _, texts in _chunks(batches):
+        for _, _, texts in _chunks(batches):
             buffer, starts, sizes, _, _ = _lines(texts)
             keep = np.flatnonzero(sizes >= max(least, edits + 1))
             h1, first = np.unique(Rolling(buffer).hashes(starts[keep], sizes[keep]), return_index=True)
@@ -175,55 +175,60 @@ def _meeting_keys(docs: DataFrame, edits: int, least: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(line.view(np.int64))], schema=schema)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry_key, carry_line = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def solve(key: np.ndarray, line: np.ndarray) -> pa.RecordBatch:
-            starts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1]) if len(key) else np.zeros(0, np.int64)
-            sizes = np.diff(np.append(starts, len(key)))
-            h = line >> 1
-            differ = np.minimum.reduceat(h, starts) != np.maximum.reduceat(h, starts)
-            entered = np.maximum.reduceat(line & 1, starts) == 1
-            rows = np.repeat(differ & entered, sizes)
-            return pa.RecordBatch.from_arrays([pa.array(key[rows]), pa.array(h[rows])], schema=schema)
-
+        # Rows come by key, entries first. Of a key that goes on in the next batch only its state is kept: its first line,
+        # whether that was an entry, and whether a different line has come; so a key of any size needs no memory.
+        last = first = None
+        entered = met = False
         for batch in batches:
-            key = np.concatenate([carry_key, batch.column(0).to_numpy()])
-            line = np.concatenate([carry_line, batch.column(1).to_numpy()])
-            if not len(key):
+            if not batch.num_rows:
                 continue
-            cut = int(np.searchsorted(key, key[-1]))
-            if cut:
-                yield solve(key[:cut], line[:cut])
-            carry_key, carry_line = key[cut:], np.unique(line[cut:])
-            carry_key = carry_key[: len(carry_line)]  # one key: its lines once each
-        if len(carry_key):
-            yield solve(carry_key, carry_line)
-
-    sent = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(send, "key long, line long")
-    return sent.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "key long, line long").select("key", F.col("line").alias("h"))
+            key, line = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            h = line >> 1
+            starts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
+            sizes = np.diff(np.append(starts, len(key)))
+            differ = np.minimum.reduceat(h, starts) != np.maximum.reduceat(h, starts)
+            is_entered = (line[starts] & 1) == 1
+            if key[0] == last:
+                is_entered[0] = entered
+                new = met or differ[0] or h[0] != first
+                if new and entered and not met:  # what came before was one line only
+                    yield pa.RecordBatch.from_arrays([pa.array([last]), pa.array([first])], schema=schema)
+                differ[0] = new
+                if len(starts) > 1:
+                    first = None
+            if first is None or key[0] != last:
+                first = h[starts[-1]]
+            last, entered, met = key[-1], bool(is_entered[-1]), bool(differ[-1])
+            rows = np.repeat(differ & is_entered, sizes)
+            if rows.any():
+                yield pa.RecordBatch.from_arrays([pa.array(key[rows]), pa.array(h[rows])], schema=schema)
+
+    sent = placed(docs).mapInArrow(send, "key long, line long")
+    dealt = sent.repartition("key").sortWithinPartitions("key", F.col("line").bitwiseAND(F.lit(1).cast("long")).desc())
+    return dealt.mapInArrow(meet, "key long, line long").select("key", F.col("line").alias("h"))
 
 
 def _line_texts(docs: DataFrame, least: int) -> DataFrame:
-    """``doc, line, raw`` of every line of at least ``least`` bytes."""
-    schema = pa.schema([("doc", pa.int64()), ("line", pa.int64()), ("raw", pa.binary())])
+    """``doc, th, line, raw`` of every line of at least ``least`` bytes."""
+    schema = pa.schema([("doc", pa.int64()), ("th", pa.int64()), ("line", pa.int64()), ("raw", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _chunks(batches):
-            out: tuple[list, list, list] = ([], [], [])
-            for i, t in zip(ids, texts, strict=True):
+        for ids, hashes, texts in _chunks(batches):
+            out: tuple[list, list, list, list] = ([], [], [], [])
+            for i, h, t in zip(ids, hashes, texts, strict=True):
                 for n, raw in enumerate(t.encode().split(b"\n") if t else ()):
                     if len(raw) >= least:
-                        out[0].append(i), out[1].append(n), out[2].append(raw)
+                        out[0].append(i), out[1].append(h), out[2].append(n), out[3].append(raw)
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, schema, strict=True)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc long, line long, raw binary")
+    return placed(docs).mapInArrow(run, "doc long, th long, line long, raw binary")
 
 
 def _histograms(raws: list[bytes]) -> np.ndarray:
     return np.stack([np.bincount(np.frombuffer(r, np.uint8) & 63, minlength=64) for r in raws]).astype(np.int16)
 
 
-def later_ones(places: list[tuple[int, int]], raws: list[bytes], edits: int) -> list[int]:
+def later_ones(places: list[tuple[int, int, int]], raws: list[bytes], edits: int) -> list[int]:
     """Which of the lines are within ``edits`` of one with a smaller place. Byte counts go before distances: an edit
     changes them by 2 at most."""
     order = sorted(range(len(places)), key=places.__getitem__)
@@ -247,33 +252,33 @@ def _blocks(meeting: DataFrame, most: int) -> DataFrame:
 
 
 def _near_lines(docs: DataFrame, firsts: DataFrame, edits: int, least: int, most: int = 1000) -> DataFrame:
-    """``doc, line`` of the first occurrences that are near, but not equal, to an earlier line."""
+    """``doc, th, line`` of the first occurrences that are near, but not equal, to an earlier line."""
     meeting = checkpointed(_meeting_keys(docs, edits, least).distinct())
     release(docs.sparkSession)
-    wanted = firsts.withColumn("h", F.shiftright("h1", 1)).join(meeting.select("h").distinct(), "h", "left_semi").select("doc", "line", "h", "h1")
-    texts = _line_texts(docs, least).join(wanted, ["doc", "line"])
-    rows = _blocks(meeting, most).join(texts, "h").select("block", "doc", "line", "raw")
-    schema = pa.schema([("doc", pa.int64()), ("line", pa.int64())])
+    wanted = firsts.withColumn("h", F.shiftright("h1", 1)).join(meeting.select("h").distinct(), "h", "left_semi").select("doc", "th", "line", "h")
+    texts = _line_texts(docs, least).join(wanted, ["doc", "th", "line"]).dropDuplicates(["doc", "th", "line"])
+    rows = _blocks(meeting, most).join(texts, "h").select("block", "doc", "th", "line", "raw")
+    schema = pa.schema([("doc", pa.int64()), ("th", pa.int64()), ("line", pa.int64())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, places, raws = None, [], []
 
         def solve() -> pa.RecordBatch:
             hits = later_ones(places, raws, edits) if len(places) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([places[k][i] for k in hits], pa.int64()) for i in (0, 1)], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array([places[k][i] for k in hits], pa.int64()) for i in range(3)], schema=schema)
 
         for batch in batches:
-            for k, d, n, r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for k, *place, r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if k != key:
                     if len(places) > 1:
                         yield solve()
                     key, places, raws = k, [], []
-                places.append((d, n))
+                places.append(tuple(place))
                 raws.append(r)
         if len(places) > 1:
             yield solve()
 
-    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(verify, "doc long, line long").distinct()
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(verify, "doc long, th long, line long").distinct()
 
 
 def release(spark: SparkSession) -> None:
@@ -284,47 +289,52 @@ def release(spark: SparkSession) -> None:
 
 def removed_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST_BYTES, short: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(all, removed)``: every line of at least ``least`` bytes and every document (see ``line_hashes``), and
-    ``doc, line, size, near`` of the lines to take out: those within ``edits`` byte edits of a line at an earlier
-    place, that is of a smaller (doc_id, line number). With ``short`` also shorter lines, not blank, that equal one."""
-    rows = checkpointed(line_hashes(docs, least, short))  # 40 bytes a line
+    ``doc, th, line, near`` of the lines to take out: those within ``edits`` byte edits of a line at an earlier
+    place, that is of a smaller (doc_id, text hash, line number). With ``short`` also shorter lines, not blank, that equal
+    one."""
+    rows = line_hashes(docs, least, short)
     lines = rows.where("h1 is not null")
-    firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line")).alias("p"), F.count("*").alias("n"))
-    firsts = checkpointed(firsts.select("h1", "h2", F.col("p.doc").alias("doc"), F.col("p.line").alias("line"), "n"))
+    place = F.struct("doc", "th", "line")
+    firsts = lines.groupBy("h1", "h2").agg(F.min(place).alias("p"), (F.count("*") > 1).alias("again"))
+    firsts = checkpointed(firsts.select("h1", "h2", "p.*", "again"))
     near = checkpointed(_near_lines(docs, firsts, edits, least))
     release(docs.sparkSession)
-    again = firsts.where("n > 1").select("h1", "h2", F.col("doc").alias("doc1"), F.col("line").alias("line1"))
-    equal = lines.join(again, ["h1", "h2"]).where((F.col("doc") > F.col("doc1")) | (F.col("doc") == F.col("doc1")) & (F.col("line") > F.col("line1")))
-    both = equal.select("doc", "line", F.lit(False).alias("near")).unionByName(near.select("doc", "line", F.lit(True).alias("near")))
-    return rows, both.groupBy("doc", "line").agg(F.min("near").alias("near"))
+    again = firsts.where("again").select("h1", "h2", F.struct("doc", "th", "line").alias("first"))
+    equal = lines.join(again, ["h1", "h2"]).where(place > F.col("first"))
+    both = equal.select("doc", "th", "line", F.lit(False).alias("near")).unionByName(near.select("doc", "th", "line", F.lit(True).alias("near")))
+    return rows, both.groupBy("doc", "th", "line").agg(F.min("near").alias("near"))
 
 
 def line_report(docs: DataFrame, edits: int = EDITS, least: int = LEAST_BYTES) -> DataFrame:
     """``doc_id, n_lines, n_bytes, n_removed, n_near, removed_bytes`` of every document; one row per input row.
 
     Lines are what stands between line feeds; a null or empty text has none. Lines below ``least`` bytes always stay.
-    ``n_near`` counts the removed lines that equal no earlier one. Rows with equal ids share their places: a line is
-    never earlier than the one at the same place of the other row; their removed lines are reported on each. Rows with
-    null ids stand last, together. Other columns are ignored; an empty table gives no rows."""
+    ``n_near`` counts the removed lines that equal no earlier one. Rows with equal ids and unlike texts are different
+    documents, in the order of a hash of the text. Rows with equal ids and texts share their places: a line is never
+    earlier than the one at the same place of the other row; their removed lines are reported on each. Rows with null
+    ids stand last. Other columns are ignored; an empty table gives no rows."""
     rows, removed = removed_lines(docs, edits, least)
-    sizes = rows.where("h1 is not null").select("doc", "line", "size").distinct()
-    per_doc = removed.join(sizes, ["doc", "line"]).groupBy("doc").agg(
+    sizes = rows.where("h1 is not null").select("doc", "th", "line", "size").distinct()
+    per_doc = removed.join(sizes, ["doc", "th", "line"]).groupBy("doc", "th").agg(
         F.count("*").alias("n_removed"), F.count_if("near").alias("n_near"), F.sum("size").alias("removed_bytes")
     )
-    docs_only = rows.where("h1 is null").select("doc", F.col("line").alias("n_lines"), F.col("size").alias("n_bytes"))
+    docs_only = rows.where("h1 is null").select("doc", "th", F.col("line").alias("n_lines"), F.col("size").alias("n_bytes"))
     zero = F.lit(0).cast("long")
-    return docs_only.join(per_doc, "doc", "left").select(
-        F.when(F.col("doc") != _LAST, F.col("doc")).alias("doc_id"), "n_lines", "n_bytes",
+    return docs_only.join(per_doc, ["doc", "th"], "left").select(
+        F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"), "n_lines", "n_bytes",
         *(F.coalesce(c, zero).alias(c) for c in ("n_removed", "n_near", "removed_bytes")),
     )
 
 
 def without_repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST_BYTES, short: bool = False) -> DataFrame:
     """The rows of ``docs``, all columns as they were but ``text``, from which the repeated lines are gone, and, if there
-    is one, ``n_chars``. Every row stays, if with an empty text; a null text stays null."""
+    is one, ``n_chars``. Every row stays, if with an empty text; a null text stays null. Equal and null ids are as in
+    ``line_report``."""
     _, removed = removed_lines(docs, edits, least, short)
-    gone = removed.groupBy("doc").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("doc", "_line_doc")
+    gone = removed.groupBy("doc", "th").agg(F.collect_set("line").alias("_gone")).withColumnsRenamed({"doc": "_line_doc", "th": "_line_th"})
     kept = docs.columns
-    joined = docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)) == F.col("_line_doc"), "left").select(*(docs[f"`{c}`"] for c in kept), "_gone")
+    doc, th = place_of("doc_id", "text")
+    joined = docs.join(gone, (doc == F.col("_line_doc")) & (th == F.col("_line_th")), "left").select(*(docs[f"`{c}`"] for c in kept), "_gone")
     text_at, chars_at = kept.index("text"), kept.index("n_chars") if "n_chars" in kept else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,22 +359,23 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = r"""
 WITH t AS (
-  SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
+  SELECT doc_id, coalesce(doc_id, 9223372036854775807) AS doc, coalesce(('0x' || substr(md5(text), 1, 15))::BIGINT, -1) AS th,
+         coalesce(strlen(text), 0)::BIGINT AS n_bytes,
          CASE WHEN coalesce(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS parts FROM documents
 ), l AS (
-  SELECT doc_id AS doc, unnest(range(len(parts))) AS line, unnest(parts) AS raw FROM t
-), e AS (SELECT doc, line, raw, strlen(raw) AS size FROM l WHERE strlen(raw) >= 20
-), f AS (SELECT raw, size, min((doc, line)) AS place FROM e GROUP BY ALL
+  SELECT DISTINCT doc, th, unnest(range(len(parts))) AS line, unnest(parts) AS raw FROM t
+), e AS (SELECT doc, th, line, raw, strlen(raw) AS size FROM l WHERE strlen(raw) >= 20
+), f AS (SELECT raw, size, min((doc, th, line)) AS place FROM e GROUP BY ALL
 ), n AS (
   SELECT a.place FROM f a WHERE EXISTS (
     SELECT 1 FROM f b WHERE b.size BETWEEN a.size - 2 AND a.size + 2 AND b.place < a.place AND levenshtein(a.raw, b.raw) <= 2)
 ), r AS (
-  SELECT e.doc, e.size, (e.doc, e.line) = f.place AS near FROM e JOIN f USING (raw)
-  WHERE (e.doc, e.line) <> f.place OR f.place IN (SELECT place FROM n)
+  SELECT e.doc, e.th, e.size, (e.doc, e.th, e.line) = f.place AS near FROM e JOIN f USING (raw)
+  WHERE (e.doc, e.th, e.line) <> f.place OR f.place IN (SELECT place FROM n)
 ), s AS (
-  SELECT doc, count(*) AS n_removed, count(*) FILTER (WHERE near) AS n_near, sum(size)::BIGINT AS removed_bytes FROM r GROUP BY doc
+  SELECT doc, th, count(*) AS n_removed, count(*) FILTER (WHERE near) AS n_near, sum(size)::BIGINT AS removed_bytes FROM r GROUP BY doc, th
 )
 SELECT doc_id, len(parts)::BIGINT AS n_lines, n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
        coalesce(n_near, 0)::BIGINT AS n_near, coalesce(removed_bytes, 0)::BIGINT AS removed_bytes
-FROM t LEFT JOIN s ON t.doc_id = s.doc
+FROM t LEFT JOIN s USING (doc, th)
 """

@@ -18,10 +18,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, map_lists, read
+from .common import checkpointed, map_lists, place_of, read
 from .graph import components
 
 BITS = 64
@@ -261,6 +261,13 @@ def links(fps: DataFrame, distance: int = 3, parts: int = 4, split_from: int = 1
     return sent.repartition("part", "key", "sub").sortWithinPartitions("part", "key", "sub").mapInArrow(join, "a long, b long")
 
 
+def _rooted(found: DataFrame, distance: int) -> DataFrame:
+    """``fp, first, root`` of the distinct fingerprints of ``doc_id, fp`` rows: the least doc_id, and the component."""
+    classes = checkpointed(found.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    roots = components(links(classes, distance))
+    return classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, distance: int = 3, shingle: int = 3) -> DataFrame:
     """``doc_id, fp, fingerprint, component_id`` of every document; one row per input row.
 
@@ -268,31 +275,29 @@ def near_duplicates(docs: DataFrame, distance: int = 3, shingle: int = 3) -> Dat
     its id the smallest doc_id in it. Null, empty and blank texts have fingerprint 0, which links like any other.
     Null ids count in no minimum, so that a component of null ids only has a null id. Other columns are ignored."""
     found = checkpointed(fingerprints(docs, shingle))  # 16 bytes a document
-    classes = checkpointed(found.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(classes, distance))
-    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(found, distance)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
     return found.join(named, F.col("fp") == F.col("_fp")).select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def representatives(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, all columns as they were, that stay: of each component the row with the smallest doc_id, of
-    rows with equal ids the one with the least text. Rows without an id stay."""
-    near = near_duplicates(docs, **options).where(F.col("doc_id") == F.col("component_id")).select("doc_id")
-    return rows_to_keep(docs, near)
-
+def representatives(docs: DataFrame, distance: int = 3, shingle: int = 3) -> DataFrame:
+    """The rows of ``docs``, all columns as they were, that stay: of each component of ``near_duplicates`` the row at the
+    first place (``common.place_of``), that is the smallest doc_id, rows without one last."""
+    doc, th = place_of("doc_id", "text")
+    found = checkpointed(fingerprints(docs.select(F.struct(doc.alias("doc"), th.alias("th")).alias("doc_id"), "text"), shingle))
+    return rows_to_keep(docs, _rooted(found, distance).groupBy("root").agg(F.min("first").alias("p")).select("p.*"))
 
-def rows_to_keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id ``ids`` (one column) has, of equal ids the one with the least text, and those
-    without an id."""
-    from pyspark.sql import Window
 
-    near = ids.toDF("_keep").distinct()
+def rows_to_keep(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows of ``docs`` at the given places (``doc, th``, see ``place_of``); of rows at one place, which have one id and
+    one text, one stays, always the same."""
     keep = docs.columns
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first()))
-    kept = docs.join(near, F.col("doc_id") == F.col("_keep"), "left_semi").withColumn("_place", place).where("_place = 1")
-    return kept.select(*(F.col(f"`{c}`") for c in keep)).unionByName(docs.where(F.col("doc_id").isNull()))
+    doc, th = place_of("doc_id", "text")
+    marked = docs.withColumns({"_doc": doc, "_th": th, "_order": F.xxhash64(*(F.col(f"`{c}`") for c in keep))})
+    wanted = places.select(F.col("doc").alias("_doc"), F.col("th").alias("_th")).distinct()
+    order = F.row_number().over(Window.partitionBy("_doc", "_th").orderBy("_order"))
+    return marked.join(wanted, ["_doc", "_th"], "left_semi").withColumn("_place", order).where("_place = 1").select(*(F.col(f"`{c}`") for c in keep))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
