@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+import tempfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +39,24 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def map_lists(df: DataFrame, fn: Callable[..., list], schema: str, *columns: str, rows: int = 256) -> DataFrame:
-    """Map-only stage: ``fn`` gets the listed columns as Python lists, at most ``rows`` rows at once, and
-    returns one list per field of ``schema``. Arrow carries the batches; nothing is shuffled, and memory is
-    bounded by ``rows`` texts."""
+def slices(batch: pa.RecordBatch, rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most ``rows`` rows, and ``size`` bytes of text or binary but for a longer single row."""
+    bytes_ = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type) or pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
+            bytes_ += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    at, upto = 0, np.cumsum(bytes_)
+    while at < batch.num_rows:
+        before = upto[at - 1] if at else 0
+        end = max(at + 1, min(at + rows, int(np.searchsorted(upto, before + size, side="right"))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def map_lists(df: DataFrame, fn: Callable[..., list], schema: str, *columns: str, rows: int = 256, size: int = 8 << 20) -> DataFrame:
+    """Map-only stage: ``fn`` gets the listed columns as Python lists, at most ``rows`` rows or ``size`` bytes at once (a
+    longer text comes alone), and returns one list per field of ``schema``. Arrow carries the batches; nothing is
+    shuffled."""
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -48,12 +65,9 @@ def map_lists(df: DataFrame, fn: Callable[..., list], schema: str, *columns: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                part = batch.slice(at, rows)
+            for part in slices(batch, rows, size):
                 out = fn(*(c.to_pylist() for c in part.columns))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, type=f.type) for v, f in zip(out, arrow, strict=True)], schema=arrow
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(out, arrow, strict=True)], schema=arrow)
 
     return df.select(*(F.col(c) for c in columns)).mapInArrow(run, fields)
 
@@ -63,11 +77,21 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder, as ``spark.checkpoint.dir`` names it. Where the setting is missing a folder is made only
+    for a session whose executors are threads of this process, as in tests; a cluster without it is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = tempfile.gettempdir() + "/checkpoints"
+    return folder.rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the cluster's shared folder (``spark.checkpoint.dir``); a folder is set here
-    only where the session names none, as in tests."""
+    """Cut the lineage through the cluster's shared folder."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints")
+        context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)

@@ -43,6 +43,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: A new one of these closes an open one of the second kind.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 WHOLE = frozenset(("html", "body", "main", "article"))
+#: Bytes of a page to learn from, at most.
+LONGEST = 200_000
 WORD, SPACE = "word", re.compile(r"\s+")
 
 
@@ -174,9 +176,10 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
 
 
 def fit(pages: DataFrame, sample: int = 300) -> dict[str, float]:
-    """Weights learnt from at most ``sample`` labelled pages, drawn by a hash of the id. They alone come to the driver."""
-    labelled = pages.where(F.col("html").contains("<article")).select("html", F.xxhash64("page_id", "url").alias("place"))
-    share = min(1.0, 4 * sample / max(1, pages.count()))
+    """Weights learnt from at most ``sample`` labelled pages of at most ``LONGEST`` bytes, drawn by a hash of the id. They
+    alone come to the driver: 60 MB at most."""
+    labelled = pages.where(F.col("html").contains("<article") & (F.octet_length("html") <= LONGEST)).select("html", F.xxhash64("page_id", "url").alias("place"))
+    share = min(1.0, 4 * sample / max(1, labelled.count()))
     drawn = labelled.where(F.pmod("place", F.lit(1 << 20)) < int(share * (1 << 20))).orderBy("place", "html").limit(sample)
     return learn([r.html for r in drawn.select("html").collect()])
 

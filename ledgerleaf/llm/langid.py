@@ -12,6 +12,7 @@ Runs repeat, so their scores are kept in a bounded cache of the worker process.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -280,7 +281,7 @@ def fit(docs: DataFrame, per_language: int = 600, order: int = ORDER) -> Languag
     return models
 
 
-_scorers: dict[int, Scorer] = {}
+_scorers: dict[str, Scorer] = {}  # of this worker process, by model
 
 
 def predict(docs: DataFrame, models: LanguageModels, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -289,7 +290,7 @@ def predict(docs: DataFrame, models: LanguageModels, id_col: str = "doc_id", tex
     A text that is null or has no letter gets ``und``, score 0 and is rejected; so does every text if there is
     nothing to learn from. Ids may be null or repeated; other columns are ignored. Map-only."""
     shared = docs.sparkSession.sparkContext.broadcast(models)  # a few MB: bounded by the sample
-    key = id(shared)
+    key = uuid.uuid4().hex
 
     def run(ids, held, texts):
         if key not in _scorers:
@@ -306,7 +307,7 @@ def predict(docs: DataFrame, models: LanguageModels, id_col: str = "doc_id", tex
 def accepted(docs: DataFrame, per_language: int = 600) -> DataFrame:
     """The rows of ``docs``, all columns as they were, whose text is not rejected by models learnt from ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, per_language))
-    key, at = id(shared), docs.columns.index("text")
+    key, at = uuid.uuid4().hex, docs.columns.index("text")
 
     def run(batches):
         import pyarrow as pa

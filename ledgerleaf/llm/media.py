@@ -82,24 +82,38 @@ def read_rgb(media: DataFrame, id_col: str = "doc_id", media_col: str = "media")
     return map_lists(media, run, schema, id_col, media_col, rows=16)
 
 
-def media_digests(media: DataFrame) -> DataFrame:
+def decoded(media: DataFrame) -> DataFrame:
     """From ``to_media``'s rows, read back: ``doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes,
-    media_sha256, feature``. Equal texts give equal values: pixels come from exact integer arithmetic."""
+    media_sha256`` and the full-resolution tensor as ``height, width, rgb``."""
 
     def run(ids, sizes, files):
         rows = []
         for data in files:
             image = Reader().read(data)
-            payload = payload_of(image)
-            rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), features(to_rgb(image))))
-        return [ids, sizes, *([r[k] for r in rows] for k in range(6))]
+            payload, rgb = payload_of(image), to_rgb(image)
+            rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), *rgb.shape[:2], rgb.tobytes()))
+        return [ids, sizes, *([r[k] for r in rows] for k in range(8))]
 
     schema = (
         f"doc_id {media.schema['doc_id'].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, "
-        "tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+        "tail_crc32 long, media_bytes long, media_sha256 string, height int, width int, rgb binary"
     )
     return map_lists(media, run, schema, "doc_id", "n_bytes", "media", rows=64)
 
 
+def media_digests(media: DataFrame) -> DataFrame:
+    """``decoded`` with ``feature``, computed from the tensor column, in its place. Equal texts give equal values: pixels come
+    from exact integer arithmetic."""
+    tensors = decoded(media)
+    keep = tensors.columns[:7]
+
+    def run(*columns):
+        *same, heights, widths, pixels = columns
+        return [*same, [features(np.frombuffer(p, np.uint8).reshape(h, w, 3)) for h, w, p in zip(heights, widths, pixels, strict=True)]]
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tensors.schema.fields[:7]) + ", feature string"
+    return map_lists(tensors, run, schema, *keep, "height", "width", "rgb", rows=64)
+
+
 def op2_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_digests(to_media(read(spark, sf_dir, "documents")))

@@ -121,7 +121,9 @@ class Rule:
         return " and ".join(f"{n} {'>=' if a else '<='} {t:.6g}" for n, a, t in self.conditions) + " -> drop"
 
 
-def _grow(x: dict[str, np.ndarray], bad: np.ndarray, longest: int, cuts: int) -> list[tuple[str, bool, float]]:
+def _grow(x: dict[str, np.ndarray], bad: np.ndarray, longest: int, cuts: int, barred: frozenset = frozenset()) -> list[tuple[str, bool, float]]:
+    """The conditions of one rule, each that of most information gain; the first is none of the ``barred`` (feature, at
+    least) starts."""
     here, conditions = np.ones(len(bad), bool), []
     while len(conditions) < longest:
         p, n = int(bad[here].sum()), int((~bad[here]).sum())
@@ -138,6 +140,8 @@ def _grow(x: dict[str, np.ndarray], bad: np.ndarray, longest: int, cuts: int) ->
                 edges = edges[np.linspace(0, len(edges) - 1, cuts).astype(int)]
             base = math.log2(p / (p + n))
             for at_least in True, False:
+                if not conditions and (name, at_least) in barred:
+                    continue
                 pos = from_here[edges] if at_least else p - from_here[edges]
                 total = all_from[edges] if at_least else len(v) - all_from[edges]
                 with np.errstate(divide="ignore", invalid="ignore"):
@@ -155,13 +159,14 @@ def _grow(x: dict[str, np.ndarray], bad: np.ndarray, longest: int, cuts: int) ->
 
 def learn(x: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.95, longest: int = 4, most_rules: int = 12, cuts: int = 256) -> list[Rule]:
     """Sequential covering. A rule is kept if, after pruning, at least ``precision`` of what it covers in the pruning
-    third is bad (Laplace-corrected) and at least 3 rows are; learning ends with the first that isn't."""
+    third is bad (Laplace-corrected) and at least 3 rows are. After one that isn't the next rule starts with another
+    feature or direction; learning ends when no start is left."""
     third = np.arange(len(bad)) % 3 == 2
-    left, rules = np.ones(len(bad), bool), []
+    left, rules, barred = np.ones(len(bad), bool), [], set()
     while len(rules) < most_rules and bad[left].sum() >= 6:
         grow, prune = left & ~third, left & third
         part = lambda mask: {k: v[mask] for k, v in x.items()}
-        conditions = _grow(part(grow), bad[grow], longest, cuts)
+        conditions = _grow(part(grow), bad[grow], longest, cuts, frozenset(barred))
         if not conditions:
             break
 
@@ -172,11 +177,13 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.95, lo
 
         best = max((conditions[:k] for k in range(1, len(conditions) + 1)), key=lambda cs: (round(worth(cs)[0], 3), -len(cs)))
         share, hits = worth(best)
-        if hits < 3 or (hits and share < min(precision, 1 - 1 / (hits + 2))):
-            break
+        if hits < 3 or share < min(precision, 1 - 1 / (hits + 2)):
+            barred.add(conditions[0][:2])
+            continue
         rule = Rule(tuple(best))
         rules.append(rule)
         left &= ~rule.covers(x)
+        barred.clear()
     return rules
 
 
@@ -189,14 +196,14 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def fit(stats: DataFrame, labels: DataFrame, sample: int = 20_000, **options) -> list[Rule]:
-    """Learn from at most about ``sample`` labelled documents, drawn by a hash of the id. Only their statistics come
-    to the driver. Labels that are null, or have no document, are left out; without labels there are no rules."""
+    """Learn from at most about ``sample`` labelled documents, drawn by a hash of the id, that don't fail the base. Only
+    their statistics come to the driver. Labels that are null, or have no document, are left out; without labels there are no rules."""
     known = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     total = known.count()
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(min(1.0, sample / max(1, total)) * (1 << 20))
     columns = features()
     rows = (
-        stats.join(known.where(draw), "doc_id")
+        stats.where("not base_failed").join(known.where(draw), "doc_id")
         .select("doc_id", F.struct("quality", *(c.alias(n) for n, c in columns.items())).alias("row"))
         .groupBy("doc_id")
         .agg(F.min("row").alias("row"))  # of rows with equal ids always the same one
@@ -221,10 +228,10 @@ def judge(docs: DataFrame, labels: DataFrame, least_words: int = 20, repeat_perc
 
     Base: fewer than ``least_words`` words, or more than ``repeat_percent`` % of them in repeated runs. A null or
     empty text has no words and fails. Ids may be null or repeated; other columns are ignored."""
-    stats = checkpointed(text_statistics(docs))  # 100 bytes a document; the texts are read once
-    rules = fit(stats, labels, **options)
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
-    return stats.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+    stats = checkpointed(text_statistics(docs)).withColumn("base_failed", failed)  # 100 bytes a document; the texts are read once
+    rules = fit(stats, labels, **options)
+    return stats.withColumn("kept", ~F.col("base_failed") & verdict(rules))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

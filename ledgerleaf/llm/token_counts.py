@@ -2,26 +2,30 @@
 
 The tokenizer's pieces never hold a space mark after another character, nor a line feed, so its merges
 never cross the start of a run of spaces or a line feed. A text's token count is therefore the sum of the
-counts of its *pre-tokens*. Each is looked up first in a compact broadcast hash table, then in a bounded
-cache that the worker process keeps between tasks; what is in neither is encoded by the library.
+counts of its *pre-tokens*. Each is looked up first in a compact broadcast hash table of the frequent ones, then in a
+bounded cache that the worker process keeps between tasks; what is in neither is encoded by the library.
 
-The broadcast tier holds the pre-tokens that were frequent where the tokenizer was trained: the vocabulary's
-own pieces that start a word. Its size is fixed by the vocabulary, whatever the corpus is, and it alters
-speed only, never a count.
+Which pre-tokens are frequent is counted on a bounded sample of documents (``SAMPLE``), drawn by a hash; the table holds
+the ``FREQUENT`` most frequent of them, of at most ``LONGEST`` bytes, with their lengths in tokens: its size is bounded by
+these parameters. It alters speed only, never a count: every text is counted whole, from exact lengths.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import map_lists, read
 
 MARK = "▁"  # how the tokenizer writes a space
+#: Documents of the sample, entries of the broadcast table, and bytes of an entry, at most.
+SAMPLE, FREQUENT, LONGEST = 2000, 50_000, 32
 _PIECES = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 
 
@@ -58,6 +62,10 @@ class FrequentLengths:
             at = (at + 1) & mask
         return None
 
+    def expanded(self) -> dict[str, int]:
+        """The table as a dictionary, which a worker makes once: it is looked up for every pre-token of every text."""
+        return {self.blob[a:b].decode(): int(n) for a, b, n in zip(self.ends, self.ends[1:], self.counts)}
+
 
 def processor(path: str):
     import sentencepiece
@@ -71,12 +79,6 @@ def decomposes(model) -> bool:
     return not any(MARK in p.lstrip(MARK) or "\n" in p or " " in p for p in pieces)
 
 
-def frequent_lengths(model) -> FrequentLengths:
-    words = {p[1:] for p in map(model.id_to_piece, range(model.get_piece_size())) if p[0] == MARK and len(p) > 1 and MARK not in p[1:]}
-    words = sorted(words)
-    return FrequentLengths.of({w: len(ids) for w, ids in zip(words, model.encode(words), strict=True)})
-
-
 def pre_tokens(text: str) -> list[str]:
     """The lookup keys of a text. A key that starts with a line feed is a pre-token without a space before it
     (it follows a line feed); other keys had a space before them, which the key leaves out."""
@@ -98,27 +100,25 @@ def pre_tokens(text: str) -> list[str]:
 class TokenCounter:
     """Counts tokens of whole texts. The cache holds at most ``limit`` pre-tokens and is emptied when full."""
 
-    def __init__(self, path: str, table: FrequentLengths, limit: int = 400_000) -> None:
-        self.model, self.table, self.limit = processor(path), table, limit
+    def __init__(self, path: str, table: FrequentLengths | None = None, limit: int = 400_000) -> None:
+        self.model, self.limit = processor(path), limit
+        self.frequent = table.expanded() if table else {}
         self.line_feed = self.model.encode("\n")[-1]
         # A single mark, and a line feed, are one token each.
         self.cache: dict[str, int] = {"": 1, "\n": 1}
 
-    def _learn(self, keys: set[str]) -> None:
-        after_space, after_line = [], []
-        for key in keys:
-            if key[0] == "\n":
-                after_line.append(key)
-            elif (count := self.table.get(key)) is None:
-                after_space.append(key)
-            else:
-                self.cache[key] = count
-        # One call for all: a line feed, which is a token of its own, stands before each pre-token.
+    def lengths(self, keys: list[str]) -> list[int]:
+        """Tokens of each key, from the library, in one call for those after a space and one for those after a line feed:
+        a line feed, which is a token of its own, stands before each pre-token."""
+        out: dict[str, int] = {}
+        after_line = [k for k in keys if k[0] == "\n"]
+        after_space = [k for k in keys if k[0] != "\n"]
         for missing, text in (after_space, "".join("\n " + k for k in after_space)), (after_line, "".join(after_line)):
             if missing:
                 ids = np.array(self.model.encode(text), np.int32)
                 starts = np.append(np.flatnonzero(ids == self.line_feed), len(ids))
-                self.cache.update(zip(missing, (np.diff(starts) - 1).tolist(), strict=True))
+                out.update(zip(missing, (np.diff(starts) - 1).tolist(), strict=True))
+        return [out[k] for k in keys]
 
     def counts(self, texts: list[str | None]) -> list[int]:
         out = []
@@ -127,24 +127,45 @@ class TokenCounter:
                 out.append(0)
                 continue
             keys = pre_tokens(text)
-            try:
-                out.append(sum(map(self.cache.__getitem__, keys)))
-            except KeyError:
-                self._learn({k for k in keys if k not in self.cache})
-                out.append(sum(map(self.cache.__getitem__, keys)))
+            found = list(map(self.frequent.get, keys))
+            total = sum(filter(None, found))
+            if None in found:
+                rest = [k for k, n in zip(keys, found) if n is None]
+                missing = list({k for k in rest if k not in self.cache})
+                if missing:
+                    self.cache.update(zip(missing, self.lengths(missing), strict=True))
+                total += sum(map(self.cache.__getitem__, rest))
                 if len(self.cache) > self.limit:
                     self.cache = {"": 1, "\n": 1}
+            out.append(total)
         return out
 
 
-_counters: dict[str, TokenCounter] = {}
+def frequent_lengths(docs: DataFrame, path: str, sample: int = SAMPLE, most: int = FREQUENT, id_col: str = "doc_id", text_col: str = "text") -> FrequentLengths:
+    """The most frequent pre-tokens of about ``sample`` documents with their token counts. Pre-tokens are counted on the
+    workers and added up; only the table's ``most`` entries come to the driver."""
+    draw = F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(min(1.0, sample / max(1, docs.count())) * (1 << 20))
+
+    def count(texts):
+        from collections import Counter
+
+        found = Counter(k for t in texts if t for k in pre_tokens(t) if k not in ("", "\n") and len(k.encode()) <= LONGEST)
+        return [list(found), list(found.values())]
+
+    counted = map_lists(docs.where(draw).select(F.col(text_col).alias("text")), count, "word string, n long", "text")
+    rows = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).collect()
+    words = [r.word for r in rows]
+    return FrequentLengths.of(dict(zip(words, TokenCounter(path).lengths(words), strict=True)))
+
+
+_counters: dict[str, TokenCounter] = {}  # of this worker process, by table
 
 
 def token_counts(docs: DataFrame, model_path: str | None = None, max_tokens: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Token count of every text: ``doc_id, n_bytes, n_tokens, over_limit``; one row per input row.
 
     A null or empty text has 0 bytes and 0 tokens. Ids may be null or repeated; other columns of ``docs``
-    are not looked at. Texts of any length are counted whole. Map-only: no shuffle.
+    are not looked at. Texts of any length are counted whole. Map-only; no pre-token of the corpus is shuffled.
     """
     import public_tokenizers
 
@@ -152,12 +173,14 @@ def token_counts(docs: DataFrame, model_path: str | None = None, max_tokens: int
     model = processor(path)
     if not decomposes(model):
         raise ValueError("this vocabulary has pieces that cross pre-tokens; its texts can't be counted by parts")
-    table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(model))
+    table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path, id_col=id_col, text_col=text_col))
+    key = uuid.uuid4().hex
 
     def count(ids, texts):
-        counter = _counters.get(path)
+        counter = _counters.get(key)
         if counter is None:
-            counter = _counters[path] = TokenCounter(path, table.value)
+            _counters.clear()
+            counter = _counters[key] = TokenCounter(path, table.value)
         found = counter.counts(texts)
         return [ids, [len(t.encode()) if t else 0 for t in texts], found, [n > max_tokens for n in found]]
 
