@@ -31,7 +31,8 @@ def tik(encoder):
 @pytest.fixture(scope="module")
 def counter():
     path = p.path("piece_bpe_32k.model")
-    return token_counts.TokenCounter(path, token_counts.frequent_lengths(token_counts.processor(path)), limit=50)
+    words = ["the", "a", "\na", "the\t", "é"]
+    return token_counts.TokenCounter(path, token_counts.FrequentLengths.of(dict(zip(words, token_counts.TokenCounter(path).lengths(words)))), limit=50)
 
 
 @settings(max_examples=300, deadline=None)
@@ -62,6 +63,7 @@ def test_appends_and_edits_are_exact(encoder):
 def test_frequent_table():
     table = token_counts.FrequentLengths.of({f"w{i}": i for i in range(500)})
     assert all(table.get(f"w{i}") == i for i in range(500)) and table.get("x") is None
+    assert table.expanded() == {f"w{i}": i for i in range(500)}
 
 
 @pytest.mark.parametrize("sampling", [(1, 1), (2, 1), (1, 2), (2, 2)])
