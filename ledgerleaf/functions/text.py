@@ -85,6 +85,12 @@ def text_slice(text: Column, start: Column, end: Column) -> Column:
     return F.when(start.isNotNull() & end.isNotNull(), F.substring(text, start + 1, end - start))
 
 
+def date_of_key(key: Column, kind: Column | None = None, dated: str | None = None) -> Column:
+    """The day that a key's first eight digits name, null if they are none; with ``kind``, only for keys of kind ``dated``."""
+    day = F.try_to_timestamp(F.regexp_extract(key, r"^(\d{8})", 1), F.lit("yyyyMMdd")).cast("date")
+    return day if kind is None else F.when(kind == dated, day)
+
+
 def percent_decode(text: Column) -> Column:
     """Percent escapes decoded; a plus sign stays one."""
     return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
@@ -116,10 +122,15 @@ def section_label(kind: Column, part: Column, seq: Column, number: Column) -> Co
     )
 
 
+def json_value(value: Column) -> Column:
+    """A scalar as canonical JSON: strings quoted and escaped, numbers and truth values bare, null as ``null``."""
+    wrapped = F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"})
+    return F.substring(wrapped, F.lit(6), F.length(wrapped) - 6)
+
+
 def canonical_key(*fields: Column) -> Column:
     """SHA-256 of the fields as a JSON array without spaces; nulls keep their place."""
-    quoted = [F.coalesce(F.concat(F.lit('"'), F.replace(F.replace(f.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"')), F.lit("null")) for f in fields]
-    return F.sha2(F.concat(F.lit("["), F.concat_ws(",", *quoted), F.lit("]")), 256)
+    return F.sha2(F.concat(F.lit("["), F.concat_ws(",", *map(json_value, fields)), F.lit("]")), 256)
 
 
 def http_outcome(status: Column) -> Column:

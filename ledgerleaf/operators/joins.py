@@ -10,12 +10,19 @@ from pyspark.sql import functions as F
 
 def containing(longer: DataFrame, shorter: DataFrame, text: str, part: str, gram: int = 3) -> DataFrame:
     """Pairs in which ``text`` contains ``part``, without comparing all with all: a part can only be in a text that has the
-    part's first ``gram`` characters somewhere. Parts below ``gram`` characters match nothing here."""
-    count = F.greatest(F.length(text) - gram + 1, F.lit(0))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), count), lambda i: F.substring(F.col(text), i, F.lit(gram))))
-    keyed = longer.where(F.length(text) >= gram).withColumn("_gram", F.explode(grams))
+    part's first ``gram`` characters somewhere; a shorter part must be one of the text's stretches of its own length.
+    Empty parts match nothing."""
+
+    def keyed(size: int) -> DataFrame:
+        count = F.greatest(F.length(text) - size + 1, F.lit(0))
+        grams = F.array_distinct(F.transform(F.sequence(F.lit(1), count), lambda i: F.substring(F.col(text), i, F.lit(size))))
+        return longer.where(F.length(text) >= size).withColumn("_gram", F.explode(grams))
+
     parts = shorter.where(F.length(part) >= gram).withColumn("_head", F.substring(F.col(part), 1, gram))
-    return keyed.join(parts, (F.col("_gram") == F.col("_head")) & F.contains(F.col(text), F.col(part))).drop("_gram", "_head")
+    out = keyed(gram).join(parts, (F.col("_gram") == F.col("_head")) & F.contains(F.col(text), F.col(part))).drop("_gram", "_head")
+    for size in range(1, gram):
+        out = out.unionByName(keyed(size).join(shorter.where(F.length(part) == size), F.col("_gram") == F.col(part)).drop("_gram"))
+    return out
 
 
 def as_of(left: DataFrame, right: DataFrame, on: Sequence[str], at: str, valid_from: str, bring: Sequence[str]) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.text import digit_mask, strip
 
@@ -13,11 +16,25 @@ PAGE_NUMBER = r"(?U)^[-\s]*\d+(\s*/\s*\d+)?[-\s]*$"
 
 
 def text_lines(df: DataFrame, key: str, text: str = "text", separator: str = "\n") -> DataFrame:
-    """``key, no, start, end, line`` of every line (or page, with a form feed): offsets are running sums of lengths."""
-    w = Window.partitionBy(key).orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
-    rows = df.select(F.col(key), F.posexplode(F.split(text, separator, -1)).alias("no", "line"))
-    start = F.coalesce(F.sum(F.length("line") + 1).over(w), F.lit(0))
-    return rows.withColumn("start", start).withColumn("end", F.col("start") + F.length("line")).select(key, "no", "start", "end", "line")
+    """``key, no, start, end, line`` of every line (or page, with a form feed). Offsets are summed within the row, in Arrow
+    batches: nothing is shuffled, and rows with equal keys are texts of their own. A null text has no lines."""
+    kind = df.schema[key].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pieces = [t.split(separator) if t is not None else [] for t in batch.column(1).to_pylist()]
+            counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
+            lines = [x for p in pieces for x in p]
+            sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+            first = np.repeat(np.cumsum(counts) - counts, counts)  # the text's first line among all
+            upto = np.concatenate([[0], np.cumsum(sizes + len(separator))])
+            starts = upto[:-1] - upto[first] if len(lines) else sizes
+            rows = pa.array(np.repeat(np.arange(len(pieces)), counts))
+            numbers = (np.arange(len(lines)) - first).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(numbers), pa.array(starts), pa.array(starts + sizes), pa.array(lines, pa.string())], names=[key, "no", "start", "end", "line"])
+
+    schema = StructType([StructField(key, kind), StructField("no", IntegerType()), StructField("start", LongType()), StructField("end", LongType()), StructField("line", StringType())])
+    return df.select(F.col(key), F.col(text)).mapInArrow(run, schema)
 
 
 def ascending_runs(marks: DataFrame, keys: Sequence[str], order: str, number: str) -> DataFrame:
@@ -38,8 +55,11 @@ def until_next(marks: DataFrame, keys: Sequence[str], start: str, end: Column, a
     return marks.withColumn(alias, F.coalesce(F.lead(start).over(Window.partitionBy(*keys).orderBy(start)), end))
 
 
-def until_level(heads: DataFrame, keys: Sequence[str], order: str, level: str, end: Column, levels: int = 2, alias: str = "end") -> DataFrame:
-    """Each heading's range ends at the next of its own or a higher level (a smaller number), else at ``end``."""
+def until_level(heads: DataFrame, keys: Sequence[str], order: str, level: str, end: Column, levels: int | None = None, alias: str = "end") -> DataFrame:
+    """Each heading's range ends at the next of its own or a higher level (a smaller number from 1), else at ``end``.
+    ``levels``: how many there are, by default the largest number in the data, which a small query finds."""
+    if levels is None:
+        levels = heads.agg(F.max(level)).first()[0] or 0
     after = Window.partitionBy(*keys).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
     found = F.lit(None).cast("long")
     for n in range(1, levels + 1):
@@ -48,20 +68,26 @@ def until_level(heads: DataFrame, keys: Sequence[str], order: str, level: str, e
 
 
 def page_furniture(df: DataFrame, key: str, text: str = "text", share: float = 0.3, least: int = 3) -> DataFrame:
-    """``key, start, end`` of the first and last non-blank lines of pages that, but for numbers, stand on 30 % of the pages
-    and 3 at least, and of last lines that are page numbers."""
+    """``furniture`` of texts whose pages end with form feeds; keys are unique."""
     pages = text_lines(df, key, text, "\f").select(key, F.col("no").alias("page"), F.col("start").alias("page_start"), F.col("line").alias("page_text"))
-    w = Window.partitionBy(key, "page").orderBy("no")
-    lines = pages.select(key, "page", "page_start", F.posexplode(F.split("page_text", "\n", -1)).alias("no", "line"))
-    start = F.col("page_start") + F.coalesce(F.sum(F.length("line") + 1).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    lines = lines.withColumn("start", start).where(strip(F.col("line")) != "")
-    edges = lines.withColumn("_first", F.row_number().over(w)).withColumn("_last", F.row_number().over(Window.partitionBy(key, "page").orderBy(F.desc("no"))))
-    edges = edges.where((F.col("_first") == 1) | (F.col("_last") == 1)).withColumn("mask", digit_mask(F.col("line")))
-    totals = pages.groupBy(key).agg(F.count("*").alias("pages"))
+    return furniture(pages, [key], share, least)
+
+
+def furniture(pages: DataFrame, keys: Sequence[str], share: float = 0.3, least: int = 3) -> DataFrame:
+    """``keys, start, end`` of the first and last non-blank lines of pages that, but for numbers, stand on 30 % of the pages
+    of a book (``keys``) and 3 at least, and of last lines that are page numbers. ``pages``: keys, page, page_start and
+    page_text; the key and page of a row are unique. The edges are found within the page's row; only they are shuffled."""
+    lines = text_lines(pages.select(F.struct(*keys, "page", "page_start").alias("at"), "page_text"), "at", "page_text")
+    lines = lines.where(strip(F.col("line")) != "").select(*(F.col(f"at.{k}") for k in keys), "at.page", (F.col("at.page_start") + F.col("start")).alias("start"), "no", "line")
+    edge = F.struct("no", "start", "line")
+    ends = lines.groupBy(*keys, "page").agg(F.min(edge).alias("a"), F.max(edge).alias("z"))
+    both = F.array(F.struct("a.*", (F.col("a.no") == F.col("z.no")).alias("last")), F.struct("z.*", F.lit(True).alias("last")))
+    edges = ends.select(*keys, "page", F.explode(F.array_distinct(both)).alias("e")).select(*keys, "page", "e.*").withColumn("mask", digit_mask(F.col("line")))
+    totals = pages.groupBy(*keys).agg(F.count("*").alias("pages"))
     often = (
-        edges.where("mask <> ''").groupBy(key, "mask").agg(F.countDistinct("page").alias("on")).join(totals, key)
-        .where(F.col("on") >= F.greatest(F.lit(least), F.col("pages") * share)).select(key, "mask", F.lit(True).alias("often"))
+        edges.where("mask <> ''").groupBy(*keys, "mask").agg(F.countDistinct("page").alias("on")).join(totals, list(keys))
+        .where(F.col("on") >= F.greatest(F.lit(least), F.col("pages") * share)).select(*keys, "mask", F.lit(True).alias("often"))
     )
-    found = edges.join(often, [key, "mask"], "left").where(F.col("often") | (F.col("_last") == 1) & strip(F.col("line")).rlike(PAGE_NUMBER))
+    found = edges.join(often, [*keys, "mask"], "left").where(F.col("often") | F.col("last") & strip(F.col("line")).rlike(PAGE_NUMBER))
     end = F.col("start") + F.length(F.regexp_replace("line", r"(?U)\s+$", ""))
-    return found.select(key, "start", end.alias("end")).distinct()
+    return found.select(*keys, "start", end.alias("end")).distinct()

@@ -72,17 +72,19 @@ def p6_extract_status(spark, d):
     return read(spark, d, "documents").groupBy(status.alias("status")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT o_orderkey, strptime(substr(k, 1, 8), '%Y%m%d')::DATE::VARCHAR AS day FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') || lpad(o_orderkey::VARCHAR, 9, '0') AS k FROM orders)""")
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_orderdate::DATE::VARCHAR END AS day FROM orders""")
 def p7_date_from_key(spark, d):
     key = F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0"))
-    return read(spark, d, "orders").select("o_orderkey", F.to_date(F.substring(key, 1, 8), "yyyyMMdd").cast("string").alias("day"))
+    kind = F.when(F.col("o_orderkey") % 3 > 0, "dated").otherwise("other")
+    return read(spark, d, "orders").select("o_orderkey", t.date_of_key(key, kind, "dated").cast("string").alias("day"))
 
 
-@query("""SELECT doc_id, substr(text, 11, 90) AS piece, regexp_replace(trim(substr(text, 11, 90), E' \\n\\t'), '\\d+', '#', 'g') AS mask,
-regexp_replace(substr(text, 11, 90), '[^0-9A-Za-z가-힣]', '', 'g') AS normal FROM documents WHERE text IS NOT NULL""")
+@query(r"""SELECT doc_id, substr(text, 11) AS piece, regexp_replace(regexp_replace(text, '^[\s\x0B\x85\p{Z}]+|[\s\x0B\x85\p{Z}]+$', '', 'g'), '\d+', '#', 'g') AS mask,
+regexp_replace(text, '[^0-9A-Za-z가-힣]', '', 'g') AS normal FROM documents WHERE text IS NOT NULL""")
 def p9_p16_p17_slices(spark, d):
-    piece = t.text_slice(F.col("text"), F.lit(10), F.lit(100))
-    return read(spark, d, "documents").where("text is not null").select("doc_id", piece.alias("piece"), t.digit_mask(piece).alias("mask"), t.normal_title(piece).alias("normal"))
+    text = F.col("text")
+    docs = read(spark, d, "documents").where("text is not null")
+    return docs.select("doc_id", t.text_slice(text, F.lit(10), F.greatest(F.length(text), F.lit(10))).alias("piece"), t.digit_mask(text).alias("mask"), t.normal_title(text).alias("normal"))
 
 
 @query("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN (1000 * 0.3 + o_orderkey * 2.5) / 1e6 WHEN '2-HIGH' THEN (1000 * 0.8 + o_orderkey * 3.2) / 1e6 END AS cost FROM orders""")
@@ -91,15 +93,19 @@ def p14_call_cost(spark, d):
     return read(spark, d, "orders").select("o_orderkey", t.call_cost(F.col("o_orderpriority"), F.lit(1000), F.col("o_orderkey"), prices).alias("cost"))
 
 
-@query("""SELECT p_partkey, '#' || lpad(lower(to_hex((p_partkey % 256)::INT)), 2, '0') || lpad(lower(to_hex((p_partkey * 7 % 256)::INT)), 2, '0') || '00' AS color FROM part""")
+@query("""WITH c AS (SELECT p_partkey, p_partkey % 3 AS kind, (p_partkey % 256) / 255 AS a, (p_partkey * 7 % 256) / 255 AS b, (p_partkey * 3 % 256) / 255 AS c, (p_partkey % 5) / 5 AS k FROM part),
+v AS (SELECT p_partkey, CASE kind WHEN 0 THEN [a, a, a] WHEN 1 THEN [a, b, c] ELSE [(1 - a) * (1 - k), (1 - b) * (1 - k), (1 - c) * (1 - k)] END AS x FROM c)
+SELECT p_partkey, '#' || array_to_string(list_transform(x, lambda y: lpad(lower(to_hex(round_even(y * 255, 0)::INT)), 2, '0')), '') AS color FROM v""")
 def p15_hex_color(spark, d):
-    rgb = F.array((F.col("p_partkey") % 256) / 255, (F.col("p_partkey") * 7 % 256) / 255, F.lit(0.0))
-    return read(spark, d, "part").select("p_partkey", t.hex_color(rgb).alias("color"))
+    a, b, c, k = (F.col("p_partkey") % 256) / 255, (F.col("p_partkey") * 7 % 256) / 255, (F.col("p_partkey") * 3 % 256) / 255, (F.col("p_partkey") % 5) / 5
+    parts = F.when(F.col("p_partkey") % 3 == 0, F.array(a)).when(F.col("p_partkey") % 3 == 1, F.array(a, b, c)).otherwise(F.array(a, b, c, k))
+    return read(spark, d, "part").select("p_partkey", t.hex_color(parts).alias("color"))
 
 
-@query("""SELECT doc_id, title FROM (SELECT doc_id, list_aggregate(list_transform(list_filter(string_split_regex(substr(text, 1, 40), '\\s+'), lambda w: w <> ''), lambda w: w), 'string_agg', ' ') AS title FROM documents WHERE text IS NOT NULL AND len(list_filter(string_split_regex(substr(text, 1, 40), '\\s+'), lambda w: w <> '')) > 1)""")
+@query(r"""SELECT doc_id, array_to_string(list_filter(string_split_regex(text, '[\s\x0B\x85\p{Z}]+'), lambda w: w <> ''), ' ') AS title FROM documents
+WHERE len(list_filter(string_split_regex(text, '[\s\x0B\x85\p{Z}]+'), lambda w: w <> '')) > 1""")
 def p18_undoubled(spark, d):
-    words = F.filter(F.split(F.substring("text", 1, 40), r"(?U)\s+"), lambda w: w != "")
+    words = F.filter(F.split("text", r"(?U)\s+"), lambda w: w != "")
     twice = F.array_join(F.transform(words, lambda w: F.regexp_replace(w, "(?s)(.)", "$1$1")), " ")
     return read(spark, d, "documents").where(F.size(words) > 1).select("doc_id", t.undoubled(twice).alias("title"))
 
@@ -120,9 +126,10 @@ def k2_source_key(spark, d):
     return read(spark, d, "customer").select("c_custkey", source_key(F.array(F.lit("a/b"), "c_name")).alias("source_key"))
 
 
-@query("""SELECT o_orderkey, sha256('["' || o_orderkey || '","' || o_orderstatus || '",null]') AS key FROM orders""")
+@query("""SELECT o_orderkey, sha256('[' || o_orderkey || ',"' || o_orderstatus || '\\n",null]') AS key FROM orders""")
 def x2_canonical_key(spark, d):
-    return read(spark, d, "orders").select("o_orderkey", t.canonical_key(F.col("o_orderkey"), F.col("o_orderstatus"), F.lit(None)).alias("key"))
+    status = F.concat("o_orderstatus", F.lit("\n"))
+    return read(spark, d, "orders").select("o_orderkey", t.canonical_key(F.col("o_orderkey"), status, F.lit(None).cast("string")).alias("key"))
 
 
 @query("""SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN s BETWEEN 200 AND 299 THEN 'SUCCESS' WHEN s = 429 THEN 'RATE_LIMITED' WHEN s = 408 OR s BETWEEN 500 AND 599 THEN 'RETRYABLE'
@@ -131,6 +138,41 @@ def s6_http_outcome(spark, d):
     return read(spark, d, "events").groupBy(t.http_outcome(200 + F.col("event_id") % 400).alias("outcome")).agg(F.count("*").alias("n"))
 
 
+@query("""SELECT c_custkey, 'a+b ' || c_custkey AS name, CASE c_custkey % 4 WHEN 0 THEN '요약정보' WHEN 1 THEN '표지' WHEN 2 THEN '제2부 ' || c_custkey || '절' END AS label, c_custkey % 10 = 7 AS mentions, (c_custkey % 6 + 1)::INT AS grade FROM customer""")
+def p8_p10_p11_p22_labels(spark, d):
+    k = F.col("c_custkey")
+    name = t.percent_decode(F.concat(F.lit("a+b%20"), k))
+    kind = F.when(k % 4 == 0, "summary").when(k % 4 == 1, "other").when(k % 4 == 2, "body").otherwise("other")
+    seq, part = F.when(k % 4 == 1, 1).otherwise(2), F.lit(2)
+    words = t.contains_any(F.concat(F.lit("x"), k % 10), ["x7", "zz"])
+    return read(spark, d, "customer").select("c_custkey", name.alias("name"), t.section_label(kind, part, seq, k.cast("string")).alias("label"), words.alias("mentions"), t.risk_grade(F.concat((k % 6 + 1).cast("string"), F.lit("등급 (다음 9등급)"))).alias("grade"))
+
+
+@query("""SELECT p_partkey, p_partkey % 2 = 0 AS pdf, p_partkey % 2 = 1 AS zip FROM part""")
+def h8_s2_magic(spark, d):
+    content = F.when(F.col("p_partkey") % 2 == 0, F.encode(F.lit("%PDF-1.4"), "UTF-8")).otherwise(F.unhex(F.lit("504B030400")))
+    return read(spark, d, "part").select("p_partkey", t.is_magic(content, "pdf").alias("pdf"), t.is_magic(content, "zip").alias("zip"))
+
+
+@query("""SELECT page_id, nullif(regexp_extract(replace(html, '&amp;', '&'), '(?i)href\\s*=\\s*["'']([^"'']*[.]pdf[^"'']*)["'']', 1), '') AS link FROM (SELECT page_id, html || '<a href="f?a=1&amp;b=' || page_id || '.pdf">' AS html FROM pages)""")
+def s5_first_link(spark, d):
+    html = F.concat("html", F.lit('<a href="f?a=1&amp;b='), "page_id", F.lit('.pdf">'))
+    return read(spark, d, "pages").select("page_id", src.first_link(html).alias("link"))
+
+
+@query("""SELECT o_orderkey FROM orders WHERE o_custkey % 100 >= 90""")
+def j5_orphans(spark, d):
+    customers = read(spark, d, "customer").where("c_custkey % 100 < 90").select("c_custkey")
+    return j.orphans(read(spark, d, "orders"), customers, F.col("o_custkey"), F.col("c_custkey")).select("o_orderkey")
+
+
+@query("""SELECT l_orderkey, l_linenumber FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderdate + INTERVAL 30 DAY""")
+def j6_j7_disagreements(spark, d):
+    tables = {"l": read(spark, d, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey"), "o": read(spark, d, "orders")}
+    early = F.col("l_shipdate") < F.col("o_orderdate") + F.expr("interval 30 days")
+    return r.agreement_rule("late", "l", "o", ["o_orderkey"], early).violations(tables).select(F.col("o_orderkey").alias("l_orderkey"), "l_linenumber")
+
+
 # Sources ------------------------------------------------------------------------------------------------------------
 
 
@@ -140,11 +182,12 @@ def s20_page_links(spark, d):
     return src.links(read(spark, d, "pages"), "page_id").select("page_id", "link", F.col("no").cast("long").alias("no"))
 
 
-@query("""SELECT c_custkey, c_custkey::VARCHAR AS "eleId", c_name AS text FROM customer""")
+@query("""SELECT c_custkey, c_custkey::VARCHAR AS "eleId", c_name AS text, c_name AS named FROM customer""")
 def s3_s4_tree_nodes(spark, d):
-    page = F.concat(F.lit("var node1 = {};\nnode1['text'] = \"x\";\nvar node2 = {};\nnode2['text'] = \""), "c_name", F.lit("\";\nnode2['eleId'] = \""), F.col("c_custkey").cast("string"), F.lit('";'))
+    page = F.concat(F.lit("var node1 = {};\nnode1['text'] = \"x\";\nvar node2 = {};\nnode2['text'] = \" 본 문 \";\nnode2['eleId'] = \""), F.col("c_custkey").cast("string"), F.lit("\";\nnode2['dtd'] = \""), "c_name", F.lit('";'))
     nodes = read(spark, d, "customer").select("c_custkey", src.tree_nodes(page).alias("nodes"))
-    return nodes.select("c_custkey", F.explode("nodes").alias("m")).select("c_custkey", F.col("m")["eleId"].alias("eleId"), F.col("m")["text"].alias("text"))
+    named = nodes.withColumn("named", src.node_named(F.col("nodes"), "본문")["dtd"])
+    return named.select("c_custkey", "named", F.explode("nodes").alias("m")).select("c_custkey", F.col("m")["eleId"].alias("eleId"), F.col("m")["dtd"].alias("text"), "named")
 
 
 @query("""SELECT o_custkey, 0 AS no, 'F' || o_custkey AS code, NULL::VARCHAR AS name FROM (SELECT DISTINCT o_custkey FROM orders)""")
@@ -206,17 +249,20 @@ def t20_level_ranges(spark, d):
     return ln.until_level(rows, ["o_custkey"], "o_orderkey", "level", F.lit(-1)).select("o_orderkey", F.col("end").cast("long").alias("end"))
 
 
-@query("""WITH p AS (SELECT lang, unnest(range(len(x))) AS page, unnest(x) AS body FROM (SELECT lang, list(coalesce(text, '') ORDER BY doc_id) AS x FROM documents GROUP BY lang)),
-q AS (SELECT *, coalesce(sum(length(body) + 1) OVER (PARTITION BY lang ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ps FROM p),
-l AS (SELECT lang, page, ps, unnest(range(len(s))) AS no, unnest(s) AS line FROM (SELECT *, string_split(body, chr(10)) AS s FROM q)),
-o AS (SELECT *, ps + coalesce(sum(length(line) + 1) OVER (PARTITION BY lang, page ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM l),
-e AS (SELECT *, row_number() OVER (PARTITION BY lang, page ORDER BY no) AS f, row_number() OVER (PARTITION BY lang, page ORDER BY no DESC) AS z,
+@query("""WITH p AS (SELECT lang, doc_id // 50 AS book, doc_id AS page, coalesce(text, '') AS body, coalesce(sum(length(coalesce(text, '')) + 1) OVER (PARTITION BY lang, doc_id // 50 ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ps FROM documents),
+l AS (SELECT lang, book, page, ps, unnest(range(len(s))) AS no, unnest(s) AS line FROM (SELECT *, string_split(body, chr(10)) AS s FROM p)),
+o AS (SELECT *, ps + coalesce(sum(length(line) + 1) OVER (PARTITION BY lang, book, page ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM l),
+e AS (SELECT *, row_number() OVER (PARTITION BY lang, book, page ORDER BY no) AS f, row_number() OVER (PARTITION BY lang, book, page ORDER BY no DESC) AS z,
 regexp_replace(trim(line, E' \\t\\n\\r'), '\\d+', '#', 'g') AS mask FROM o WHERE trim(line, E' \\t\\n\\r') <> ''),
-c AS (SELECT lang, mask FROM e JOIN (SELECT lang, count(*) AS n FROM p GROUP BY lang) USING (lang) WHERE (f = 1 OR z = 1) GROUP BY lang, mask, n HAVING count(DISTINCT page) >= greatest(3, 0.02 * n))
-SELECT DISTINCT lang, start, start + length(rtrim(line, E' \\t\\n\\r')) AS "end" FROM e WHERE (f = 1 OR z = 1) AND ((lang, mask) IN (SELECT (lang, mask) FROM c) OR (z = 1 AND regexp_matches(trim(line, E' \\t\\n\\r'), '^[-\\s]*\\d+(\\s*/\\s*\\d+)?[-\\s]*$')))""")
+c AS (SELECT lang, book, mask FROM e JOIN (SELECT lang, book, count(*) AS n FROM p GROUP BY lang, book) USING (lang, book) WHERE (f = 1 OR z = 1) GROUP BY lang, book, mask, n HAVING count(DISTINCT page) >= greatest(2, 0.02 * n))
+SELECT DISTINCT lang, book, start, start + length(rtrim(line, E' \\t\\n\\r')) AS "end" FROM e WHERE (f = 1 OR z = 1) AND ((lang, book, mask) IN (SELECT (lang, book, mask) FROM c) OR (z = 1 AND regexp_matches(trim(line, E' \\t\\n\\r'), '^[-\\s]*\\d+(\\s*/\\s*\\d+)?[-\\s]*$')))""")
 def t17_page_furniture(spark, d):
-    books = read(spark, d, "documents").groupBy("lang").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", F.coalesce("text", F.lit("")).alias("x")))), lambda x: x["x"]), "\f").alias("text"))
-    return ln.page_furniture(books, "lang", share=0.02)
+    """Books of the documents of one language whose ids are in one fifty; a document is a page."""
+    body = F.coalesce("text", F.lit(""))
+    before = Window.partitionBy("lang", "book").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    pages = read(spark, d, "documents").select("lang", F.floor(F.col("doc_id") / 50).alias("book"), F.col("doc_id").alias("page"), body.alias("page_text"))
+    starts = pages.select("lang", "book", "page", (F.length("page_text") + 1).alias("n")).withColumn("page_start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    return ln.furniture(pages.join(starts.drop("n"), ["lang", "book", "page"]), ["lang", "book"], share=0.02, least=2)
 
 
 def _ranges(spark, d):
@@ -252,9 +298,9 @@ def j12_points_in_ranges(spark, d):
     return iv.points_in_ranges(points, periods, ["o_custkey"], "at", bin_size=365).groupBy("o_orderkey", "o_custkey").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {_RANGES} SELECT a.k, a.start, a."end", b.start AS r_start, b."end" AS r_end, count(*) AS n FROM r a JOIN r b ON a.k = b.k AND a.start < b."end" AND b.start < a."end" WHERE a.k % 10 = 0 AND a.start < b.start GROUP BY ALL""")
+@query(f"""WITH {_RANGES} SELECT a.k, a.start, a."end", b.start AS r_start, b."end" AS r_end, count(*) AS n FROM r a JOIN r b ON a.k = b.k AND a.start < b."end" AND b.start < a."end" WHERE a.start < b.start GROUP BY ALL""")
 def j11_overlapping(spark, d):
-    mine = _ranges(spark, d).where("k % 10 = 0")
+    mine = _ranges(spark, d)
     other = mine.select("k", F.col("start").alias("r_start"), F.col("end").alias("r_end"))
     return iv.overlapping(mine, other, ["k"], bin_size=60).where("start < r_start").groupBy("k", "start", "end", "r_start", "r_end").agg(F.count("*").alias("n"))
 
@@ -337,9 +383,11 @@ def a7_reason_histogram(spark, d):
     return a.reason_histogram(read(spark, d, "events").select(F.concat("event_type", F.lit(": "), "event_id").alias("reason")), "reason")
 
 
-@query("""SELECT count(*)::BIGINT AS n FROM orders""")
+@query("""WITH h AS (SELECT sha256('{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}') AS h FROM orders),
+s AS (SELECT count(*) AS n, sum(('0x' || substr(h, 1, 15))::BIGINT) AS a, sum(('0x' || substr(h, 16, 15))::BIGINT) AS b, sum(('0x' || substr(h, 31, 15))::BIGINT) AS c, sum(('0x' || substr(h, 46, 15))::BIGINT) AS d FROM h)
+SELECT n::BIGINT AS n, sha256(n || '|' || a || '|' || b || '|' || c || '|' || d) AS checksum FROM s""")
 def a12_table_checksum(spark, d):
-    return a.table_checksum(read(spark, d, "orders"), ["o_orderkey"]).select(F.col("n").cast("long").alias("n"))
+    return a.table_checksum(read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")).select(F.col("n").cast("long").alias("n"), "checksum")
 
 
 @query("""SELECT o_custkey, sha256(string_agg(o_orderstatus, chr(10) || chr(10) ORDER BY o_orderkey)) AS sha256 FROM orders GROUP BY o_custkey""")
@@ -347,9 +395,9 @@ def a15_joined_text(spark, d):
     return a.joined_text(read(spark, d, "orders"), ["o_custkey"], "o_orderkey", "o_orderstatus").select("o_custkey", "sha256")
 
 
-@query("""SELECT user_id, i AS group_no, event_type, count(*) AS size FROM (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY event_id)::BIGINT AS i FROM (SELECT *, CASE WHEN event_type = lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) THEN 0 ELSE 1 END AS n FROM events)) GROUP BY ALL""")
+@query("""SELECT user_id, i AS group_no, event_type, count(*) AS size, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS members FROM (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY event_id)::BIGINT AS i FROM (SELECT *, CASE WHEN event_type = lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) THEN 0 ELSE 1 END AS n FROM events)) GROUP BY ALL""")
 def a16_consecutive_groups(spark, d):
-    return a.consecutive_groups(read(spark, d, "events"), ["user_id"], "event_id", ["event_type"], "event_id").drop("members")
+    return a.consecutive_groups(read(spark, d, "events"), ["user_id"], "event_id", ["event_type"], "event_id").withColumn("members", F.array_join("members", ","))
 
 
 @query("""SELECT count(*) AS groups, max(size) AS largest, avg(size) AS mean_size FROM (SELECT count(*) AS size FROM lineitem GROUP BY l_partkey, l_suppkey)""")
@@ -425,9 +473,11 @@ def m1_complete_until(spark, d):
     return found.select("source", F.col("first_day").cast("string").alias("first_day"), F.col("watermark").cast("string").alias("watermark"))
 
 
-@query(f"""WITH {_DAYS} SELECT source, greatest(max(day) - 3, min(day))::DATE::VARCHAR AS restart FROM d GROUP BY source""")
+@query(f"""WITH {_DAYS}, g AS (SELECT *, coalesce(date_diff('day', lag(day) OVER (PARTITION BY source ORDER BY day), day), 1) = 1 AS nx FROM d), w AS (SELECT *, bool_and(complete AND nx) OVER (PARTITION BY source ORDER BY day) AS ok FROM g)
+SELECT source, greatest((max(day) FILTER (ok)) - 3, min(day))::DATE::VARCHAR AS restart FROM w GROUP BY source HAVING count(*) FILTER (ok) > 0""")
 def m2_restart_day(spark, d):
-    return _days(spark, d).groupBy("source").agg(F.min("day").alias("a"), F.max("day").alias("b")).select("source", st.restart_day(F.col("b"), F.col("a")).cast("string").alias("restart"))
+    marks = st.complete_until(_days(spark, d), "source", "day", "complete").where("watermark is not null")
+    return marks.select("source", st.restart_day(F.col("watermark"), F.col("first_day")).cast("string").alias("restart"))
 
 
 @query("""SELECT user_id, ts::DATE::VARCHAR AS day FROM events WHERE event_type = 'signup' EXCEPT SELECT user_id, ts::DATE::VARCHAR FROM events WHERE event_type = 'purchase'""")
@@ -477,34 +527,40 @@ def w1_q9_overlap_rule(spark, d):
     return r.overlap_rule("overlap", "r", ["k"], "start", "end", ["end"]).violations({"r": _ranges(spark, d)}).select("k", "start", "end")
 
 
-@query("""SELECT doc_id, 100 AS start, 160 AS "end", 'exact' AS method FROM documents WHERE length(text) > 200 AND instr(text, substr(text, 101, 60)) = 101""")
-def e5_ground_exact(spark, d):
-    docs = read(spark, d, "documents").where(F.length("text") > 200).select("doc_id", "text", F.substring("text", 101, 60).alias("quote"))
-    return g.ground(docs).where("place.start = 100 and place.method = 'exact'").select("doc_id", "place.start", "place.end", "place.method")
+@query()
+def e5_ground(spark, d):
+    """A quote from the middle of every text: as it stands, reflowed, without white space, or with one letter altered."""
+    docs = read(spark, d, "documents").where("text is not null").select("doc_id", "text", F.substring(F.col("text"), (F.length("text") / 2).cast("int") + 1, F.lit(60)).alias("q"))
+    altered = F.concat(F.substring("q", 1, 30), F.lit("휘"), F.substring("q", 32, 29))
+    kinds = [F.col("q"), F.regexp_replace("q", r"\s+", "\n  "), F.regexp_replace("q", r"\s+", ""), altered]
+    return g.ground(docs.select("doc_id", "text", F.element_at(F.array(*kinds), (F.col("doc_id") % 4 + 1).cast("int")).alias("quote"))).select("doc_id", "quote", "place.*")
 
 
-@query("""SELECT o_orderkey, true AS numbers, false AS negations FROM orders""")
+@query("""SELECT o_orderkey, o_orderkey % 2 = 0 AS numbers, o_orderkey % 3 = 0 AS negations FROM orders""")
 def e6_guards(spark, d):
-    x, y = F.concat(F.lit("1,0"), F.col("o_orderkey"), F.lit(".50 없다")), F.concat(F.lit("10"), F.col("o_orderkey"), F.lit(".5"))
+    key = F.col("o_orderkey")
+    x = F.concat(F.lit("1,0"), key, F.lit(".50 없다"))
+    y = F.concat(F.lit("10"), key, F.when(key % 2 == 0, ".5").otherwise(".51"), F.when(key % 3 == 0, " 없다").otherwise(" 있다"))
     padded = read(spark, d, "orders").select("o_orderkey", x.alias("x"), y.alias("y"))
     return padded.select("o_orderkey", g.same_numbers(F.col("x"), F.col("y")).alias("numbers"), g.same_negations(F.col("x"), F.col("y")).alias("negations"))
 
 
-@query("""SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'FOUND' END AS status, CASE WHEN turn % 2 = 0 THEN 'NO_EVIDENCE' ELSE 'NOT_AN_OBJECT' END AS error FROM conversations""")
+@query("""SELECT conv_id, turn, CASE WHEN turn % 5 IN (0, 1) THEN 'FOUND' WHEN turn % 5 = 2 THEN 'NOT_FOUND' WHEN turn % 5 = 3 THEN 'MAYBE' END AS status, u.error, CASE turn % 5 WHEN 0 THEN 'OK' WHEN 2 THEN 'NOT_FOUND' END AS stored
+FROM conversations, (VALUES (0, 'NO_EVIDENCE'), (1, 'NO_VALUE'), (1, 'NO_EVIDENCE'), (2, 'NO_REASON'), (3, 'BAD_STATUS'), (3, 'NO_REASON'), (4, 'NOT_AN_OBJECT')) u(kind, error) WHERE turn % 5 = kind""".replace("CASE turn % 5 WHEN 0 THEN 'OK' WHEN 2", "CASE turn % 5 WHEN 0 THEN 'OK' WHEN 1 THEN 'OK' WHEN 2"))
 def e1_e2_replies(spark, d):
-    reply = F.when(F.col("turn") % 2 == 0, F.lit('```json\n{"status": "FOUND", "value": 1}\n```')).otherwise("[1]")
-    rows = read(spark, d, "conversations").select("conv_id", "turn", g.parsed_reply(reply).alias("v"))
-    return rows.select("conv_id", "turn", F.try_variant_get("v", "$.status", "string").alias("status"), F.explode(g.reply_errors(F.col("v"))).alias("error"))
+    kinds = ['```json\n{"status": "FOUND", "value": 1}\n```', '{"status": "FOUND"}', '{"status": "NOT_FOUND"}', '{"status": "MAYBE"}', "[1]"]
+    reply = F.element_at(F.array(*map(F.lit, kinds)), (F.col("turn") % 5 + 1).cast("int"))
+    rows = read(spark, d, "conversations").select("conv_id", "turn", g.parsed_reply(reply).alias("v")).withColumn("status", F.try_variant_get("v", "$.status", "string"))
+    return rows.select("conv_id", "turn", "status", F.explode(g.reply_errors(F.col("v"))).alias("error"), g.result_status(F.col("status")).alias("stored"))
 
 
 # Layout, matching, metrics ----------------------------------------------------------------------------------------------
 
 
-@query("""SELECT doc_id, words, sentences, words / sentences AS asl FROM (SELECT doc_id, len(regexp_extract_all(text, '\\S+'))::BIGINT AS words,
-greatest(len(regexp_extract_all(regexp_replace(text, '[0-9][.!?]', '0', 'g'), '[.!?。](\\s|$)')), 1)::BIGINT AS sentences FROM documents WHERE regexp_matches(text, '\\S') AND NOT regexp_matches(text, '[.!?][.!?]\\s|[^\\x00-\\x7F]'))""")
+@query(r"""SELECT doc_id, words, sentences, words / sentences AS asl FROM (SELECT doc_id, len(regexp_extract_all(text, '[^\s\x0B\x85\p{Z}]+'))::BIGINT AS words,
+greatest(len(regexp_extract_all(text, '[.!?。](\s|$)')) - len(regexp_extract_all(text, '[0-9][.!?。](\s|$)')), 1)::BIGINT AS sentences FROM documents WHERE regexp_matches(text, '[^\s\x0B\x85\p{Z}]'))""")
 def a22_sentence_length(spark, d):
-    docs = read(spark, d, "documents").where(F.col("text").rlike(r"\S") & ~F.col("text").rlike(r"[.!?][.!?]\s|[^\x00-\x7F]"))
-    return mt.sentence_length(docs, "doc_id", "text")
+    return mt.sentence_length(read(spark, d, "documents").where(F.col("text").rlike(r"(?U)\S")), "doc_id", "text")
 
 
 @query("""SELECT doc_id, count(DISTINCT w) AS kinds, count(DISTINCT CASE WHEN length(w) > 9 THEN w END) AS hard_kinds, count(DISTINCT CASE WHEN length(w) > 9 THEN w END) / count(DISTINCT w) AS density
@@ -574,13 +630,14 @@ def p21_product_name(spark, d):
     return mc.product_name(names, "name").select("p_partkey", "base", "series")
 
 
-@query("""SELECT l_orderkey % 50 AS page, b.box, min(i) AS start, max(i) + 1 AS "end" FROM (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice) AS i FROM lineitem) l
+@query("""SELECT l_orderkey % 50 AS page, b.box, min(i) AS start, max(i) + 1 AS "end" FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey % 50 ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice) AS i FROM lineitem) l
 JOIN (SELECT unnest(range(4)) AS box) b ON l_quantity >= b.box * 13 AND l_quantity < b.box * 13 + 10 AND l_tax * 1000 >= 0 AND l_tax * 1000 < 40 GROUP BY ALL""")
 def t25_glyphs_in_boxes(spark, d):
-    number = F.row_number().over(Window.orderBy("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"))
+    number = F.row_number().over(Window.partitionBy(F.col("l_orderkey") % 50).orderBy("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"))
     glyphs = read(spark, d, "lineitem").select((F.col("l_orderkey") % 50).alias("page"), number.alias("idx"), F.col("l_quantity").alias("x0"), F.col("l_quantity").alias("x1"), (F.col("l_tax") * 1000).alias("top"), (F.col("l_tax") * 1000).alias("bottom"))
-    boxes = spark.range(4).select(F.col("id").alias("box"), (F.col("id") * 13.0).alias("x0"), F.lit(0.0).alias("top"), (F.col("id") * 13.0 + 10).alias("x1"), F.lit(40.0).alias("bottom"))
-    return ly.glyphs_in_boxes(glyphs, boxes.crossJoin(spark.range(50).select(F.col("id").alias("page"))), ["page"], 7.0)
+    boxes = spark.range(50).select(F.col("id").alias("page"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))).alias("box"))
+    boxes = boxes.select("page", "box", (F.col("box") * 13.0).alias("x0"), F.lit(0.0).alias("top"), (F.col("box") * 13.0 + 10).alias("x1"), F.lit(40.0).alias("bottom"))
+    return ly.glyphs_in_boxes(glyphs, boxes, ["page"], 7.0)
 
 
 def entry(spark: SparkSession, d: str) -> DataFrame:

@@ -14,7 +14,8 @@ _PAIR = r"""node\d+\['(\w+)'\]\s*=\s*"([^"]*)";"""
 
 def tree_nodes(page: Column) -> Column:
     """``array<map>`` of a viewer page's script: one map of the assignments behind each ``var nodeN = {};`` with an eleId."""
-    blocks = F.slice(F.split(page, r"var\s+node\d+\s*=\s*\{\};"), 2, 100_000)
+    pieces = F.split(page, r"var\s+node\d+\s*=\s*\{\};")
+    blocks = F.slice(pieces, F.lit(2), F.size(pieces) - 1)
     maps = F.transform(blocks, lambda b: F.map_from_arrays(F.regexp_extract_all(b, F.lit(_PAIR), 1), F.regexp_extract_all(b, F.lit(_PAIR), 2)))
     return F.filter(maps, lambda m: F.map_contains_key(m, F.lit("eleId")))
 
