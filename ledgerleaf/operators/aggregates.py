@@ -121,3 +121,14 @@ def combined_status(status: str) -> Column:
         F.when(F.count(s) == 0, "NO_PARTS").when(F.bool_and(s == "OK"), "OK").when(F.bool_and(s == "FAILED"), "FAILED")
         .when(F.bool_or(s == "FAILED"), "PARTIAL").otherwise("PENDING")
     )
+
+
+def joint_counts(df: DataFrame, *columns: Column) -> DataFrame:
+    """``key, n``: counts by the columns' values joined by colons; nulls as a dash."""
+    return df.groupBy(F.concat_ws(":", *(F.coalesce(c.cast("string"), F.lit("-")) for c in columns)).alias("key")).agg(F.count("*").alias("n"))
+
+
+def first_of_each(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """The row with the smallest ``order`` of each key: a minimum, formed before the shuffle."""
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_r")).select(*keys, "_r.*")

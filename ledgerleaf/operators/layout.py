@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .intervals import points_in_ranges
+
 
 def trimmed_page(text: Column) -> Column:
     """Without white space at line ends and blank lines at either end; other control characters are spaces; not empty
@@ -39,6 +41,30 @@ def style_runs(chars: DataFrame, keys: Sequence[str], order: str, char: str, sty
     return rows.where(F.col(style).isNotNull()).groupBy(*keys, "_run", style).agg(F.min(order).alias("start"), (F.max(order) + 1).alias("end")).drop("_run")
 
 
+def table_blocks(tables: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """``key, start, end, has_sentences`` of table ranges: whether a cell ends a sentence, as running text does."""
+    inside = F.substring(F.col(text), F.col("start") + 1, F.col("end") - F.col("start"))
+    return tables.select(key, "start", "end", inside.rlike(r"다\.(?=\s|$)").alias("has_sentences"))
+
+
+def label_blocks(cells: DataFrame, sections: DataFrame, key: str, kind: str = "summary") -> DataFrame:
+    """``cells`` (key, start, end, label) that begin inside a section of that kind (``kind, start, end``)."""
+    ranges = sections.where((F.col("kind") == kind) & F.col("start").isNotNull()).select(key, F.col("start").alias("s_start"), F.col("end").alias("s_end"))
+    return points_in_ranges(cells, ranges, [key], "start", "s_start", "s_end", how="left_semi")
+
+
+def emphasis_blocks(runs: DataFrame, key: str) -> DataFrame:
+    """``key, start, end, bold, bold_method, color`` of style runs: bold is what has a method."""
+    return runs.select(key, "start", "end", F.col("bold_method").isNotNull().alias("bold"), "bold_method", "color")
+
+
+def bookmark_recall(agreement: DataFrame) -> DataFrame:
+    """One row over all documents of ``bookmark_agreement``: recall and precision of parts and sections from summed counts."""
+    total = lambda c: F.sum(c)
+    rates = [F.try_divide(total(f"matched_{k}"), total(f"{side}_{k}")).alias(f"{k[:-1]}_{name}") for k in ("parts", "sections") for side, name in (("bookmark", "recall"), ("rule", "precision"))]
+    return agreement.agg(F.count("*").alias("docs"), *rates)
+
+
 def blocks(kinds: dict[str, DataFrame], key: str) -> DataFrame:
     """All kinds of blocks of each document as one table with a ``kind``; what a kind lacks is null."""
     out = None

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .functions import text as t
 from .functions.unicode import comparable_name, nfkc, source_key
 from .operators import aggregates as a
+from .operators import conversion as cv
 from .operators import grounding as g
 from .operators import intervals as iv
 from .operators import joins as j
@@ -554,6 +555,45 @@ def e1_e2_replies(spark, d):
     return rows.select("conv_id", "turn", "status", F.explode(g.reply_errors(F.col("v"))).alias("error"), g.result_status(F.col("status")).alias("stored"))
 
 
+@query("""SELECT event_id, CASE WHEN k = 0 THEN 'FAILED' WHEN k = 1 THEN 'FAILED' WHEN k = 2 THEN 'FAILED' WHEN k = 3 THEN 'FAILED' WHEN k = 4 THEN 'FOUND' WHEN k = 5 THEN 'UNDETERMINED' WHEN k = 6 THEN 'NOT_FOUND' ELSE 'NOT_APPLICABLE' END AS status,
+CASE k WHEN 0 THEN 'CALL_FAILED' WHEN 1 THEN 'PARSE_FAILED' WHEN 2 THEN 'SCHEMA_INVALID' WHEN 3 THEN 'EVIDENCE_NOT_LOCATED' WHEN 5 THEN 'SOURCE_SECTION_MISSING' WHEN 6 THEN 'NOT_IN_DOCUMENT' WHEN 7 THEN 'MODEL_SAYS' END AS reason FROM (SELECT event_id, event_id % 8 AS k FROM events)""")
+def e3_e12_e14_outcomes(spark, d):
+    k = F.col("event_id") % 8
+    status = F.when(k <= 4, "FOUND").when(k <= 6, "NOT_FOUND").otherwise("NOT_APPLICABLE")
+    value = F.when(k == 2, '{"tiers": [{"period": 1}]}').otherwise('{"tiers": [{"period": "90", "basis": null, "rate": {"amount": 1.5, "unit": "%"}, "applies_to": null}]}')
+    errors = F.when(status == "FOUND", cv.value_errors(F.lit("redemption_terms"), value, F.lit(1))).otherwise(F.array().cast("array<string>"))
+    missing = F.when(k == 5, F.array(F.lit("제2부 11절"))).otherwise(F.array().cast("array<string>"))
+    found = cv.outcome(F.when(k == 0, "timeout"), k != 1, errors, status, k != 3, missing, F.lit(1))
+    return read(spark, d, "events").select("event_id", found.alias("o")).select("event_id", "o.*")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name || ' x y' ELSE 'quoted' END AS value FROM customer""")
+def e13_source_value(spark, d):
+    value = F.concat("c_name", F.when(F.col("c_custkey") % 2 == 0, " x y").otherwise(" z"))
+    return read(spark, d, "customer").select("c_custkey", cv.source_value(value, F.lit("quoted"), F.concat(F.lit("a\n"), "c_name", F.lit("\nxy"))).alias("value"))
+
+
+_PHRASES = "p AS (SELECT l_orderkey AS document_id, l_linenumber * 10 AS start, l_linenumber * 10 + 8 AS \"end\", l_tax > 0.07 AS lost FROM lineitem), c AS (SELECT o_orderkey AS document_id, (o_orderkey % 50)::INT AS start, (o_orderkey % 50)::INT + 15 AS \"end\" FROM orders)"
+_KEPT = "k AS (SELECT * FROM p WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.document_id = p.document_id AND p.start < c.\"end\" AND c.start < p.\"end\"))"
+
+
+def _unclaimed(spark, d):
+    n = F.col("l_linenumber") * 10
+    phrases = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("document_id"), n.alias("start"), (n + 8).alias("end"), (F.col("l_tax") > 0.07).alias("lost")).distinct()
+    at = (F.col("o_orderkey") % 50).cast("int")
+    return cv.unclaimed(phrases, read(spark, d, "orders").select(F.col("o_orderkey").alias("document_id"), at.alias("start"), (at + 15).alias("end")), ["document_id"])
+
+
+@query(f"""WITH {_PHRASES}, {_KEPT} SELECT DISTINCT document_id, start, "end", lost FROM k""")
+def e15_unclaimed_phrases(spark, d):
+    return _unclaimed(spark, d)[0]
+
+
+@query(f"""WITH {_PHRASES}, {_KEPT} SELECT document_id, CASE WHEN bool_or(lost) THEN 'FAILED' ELSE 'NOT_FOUND' END AS status FROM p WHERE document_id NOT IN (SELECT document_id FROM k) GROUP BY document_id""")
+def e15_emptied_documents(spark, d):
+    return _unclaimed(spark, d)[1]
+
+
 # Layout, matching, metrics ----------------------------------------------------------------------------------------------
 
 
@@ -640,6 +680,43 @@ def t25_glyphs_in_boxes(spark, d):
     return ly.glyphs_in_boxes(glyphs, boxes, ["page"], 7.0)
 
 
+@query("""SELECT o_orderkey, 1 AS start, 6 + (o_orderkey % 2)::INT AS "end", o_orderkey % 2 = 1 AS has_sentences FROM orders""")
+def t18_table_blocks(spark, d):
+    tables = read(spark, d, "orders").select("o_orderkey", F.lit("x표이다 다. 끝").alias("text"), F.lit(1).alias("start"), (6 + F.col("o_orderkey") % 2).cast("int").alias("end"))
+    return ly.table_blocks(tables, "o_orderkey")
+
+
+@query("""SELECT l_orderkey, l_linenumber, (l_linenumber * 10)::INT AS start FROM lineitem WHERE l_orderkey % 3 > 0 AND l_linenumber * 10 >= 20 AND l_linenumber * 10 < 20 + l_orderkey % 40""")
+def t21_label_blocks(spark, d):
+    cells = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_linenumber") * 10).cast("int").alias("start"))
+    key = F.col("o_orderkey")
+    sections = read(spark, d, "orders").select(key.alias("l_orderkey"), F.when(key % 3 > 0, "summary").otherwise("body").alias("kind"), F.lit(20).alias("start"), (20 + key % 40).cast("int").alias("end"))
+    return ly.label_blocks(cells, sections, "l_orderkey")
+
+
+@query("""SELECT c_custkey, 0 AS start, 5 AS "end", c_custkey % 2 = 0 AS bold, CASE WHEN c_custkey % 2 = 0 THEN 'font' END AS bold_method, '#ff0000' AS color FROM customer""")
+def t22_emphasis_blocks(spark, d):
+    runs = read(spark, d, "customer").select("c_custkey", F.lit(0).alias("start"), F.lit(5).alias("end"), F.when(F.col("c_custkey") % 2 == 0, "font").alias("bold_method"), F.lit("#ff0000").alias("color"))
+    return ly.emphasis_blocks(runs, "c_custkey")
+
+
+@query("""SELECT count(*) AS docs, sum(p_partkey % 3) / sum(3) AS part_recall, sum(p_partkey % 3) / sum(4) AS part_precision, sum(p_size) / sum(p_size + 5) AS section_recall, sum(p_size) / sum(p_size * 2) AS section_precision FROM part""")
+def a6_bookmark_recall(spark, d):
+    k = F.col("p_size")
+    counts = read(spark, d, "part").select((F.col("p_partkey") % 3).alias("matched_parts"), F.lit(3).alias("bookmark_parts"), F.lit(4).alias("rule_parts"), k.alias("matched_sections"), (k + 5).alias("bookmark_sections"), (k * 2).alias("rule_sections"))
+    return ly.bookmark_recall(counts)
+
+
+@query("""SELECT event_type || ':' || CASE WHEN user_id % 2 = 0 THEN user_id::VARCHAR ELSE '-' END AS key, count(*) AS n FROM events GROUP BY 1""")
+def a11_joint_counts(spark, d):
+    return a.joint_counts(read(spark, d, "events"), F.col("event_type"), F.when(F.col("user_id") % 2 == 0, F.col("user_id")))
+
+
+@query("""SELECT o_custkey, min(o_orderkey) AS o_orderkey, arg_min(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY o_custkey""")
+def a14_first_of_each(spark, d):
+    return a.first_of_each(read(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], "o_orderkey")
+
+
 def entry(spark: SparkSession, d: str) -> DataFrame:
     """The flagship: short lines of each document as headings, with the ranges that they open."""
     return t14_heading_ranges(spark, d)
