@@ -20,6 +20,7 @@ from .operators import matching as mc
 from .operators import metrics as mt
 from .operators import rules as r
 from .operators import storage as st
+from .plans import loading as ld
 from .sources import payloads as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -500,6 +501,60 @@ def x5_snapshot_leavers(spark, d):
     return st.snapshot_leavers(days, "day", "user_id", "complete").select(F.col("gone_on").cast("string").alias("gone_on"), "user_id")
 
 
+@query("""SELECT o_orderkey, o_custkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey""")
+def j1_joined_or_error(spark, d):
+    customers = read(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    return ld.joined_or_error(read(spark, d, "orders").select("o_orderkey", "o_custkey"), customers, ["o_custkey"], "customer")
+
+
+@query("""SELECT c_custkey, 'NO_EXTRACTION' AS reason FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+def j2_skipped_bodies(spark, d):
+    attempts = read(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
+    return ld.loadable(read(spark, d, "customer").select("c_custkey"), attempts, ["c_custkey"])[1]
+
+
+@query("""WITH i AS (SELECT c_mktsegment, c_nationkey, row_number() OVER (ORDER BY md5(c_mktsegment || chr(31) || c_nationkey), c_mktsegment, c_nationkey) AS id FROM (SELECT DISTINCT c_mktsegment, c_nationkey FROM customer))
+SELECT c_custkey, id FROM customer JOIN i USING (c_mktsegment, c_nationkey)""")
+def j3_parent_ids(spark, d):
+    customers = read(spark, d, "customer")
+    return ld.with_parent_ids(customers.select("c_custkey", "c_mktsegment", "c_nationkey"), customers, ["c_mktsegment", "c_nationkey"], "id").select("c_custkey", "id")
+
+
+@query("""SELECT 'orders' AS "table", count(*) AS n FROM orders WHERE o_orderstatus <> 'F'""")
+def k7_foreign_rows(spark, d):
+    orders = read(spark, d, "orders").withColumnRenamed("o_orderstatus", "source")
+    return ld.foreign_rows({"orders": orders, "closed": orders.where("source = 'F'")}, "F")
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'MISSING' WHEN doc_id % 5 = 1 THEN 'SIZE' ELSE 'DIGEST' END AS problem FROM documents WHERE text IS NOT NULL AND doc_id % 5 < 3""")
+def q5_changed_contents(spark, d):
+    docs = read(spark, d, "documents").where("text is not null")
+    k, raw = F.col("doc_id") % 5, F.encode("text", "UTF-8")
+    rows = docs.select("doc_id", F.when(k == 2, F.sha2(F.lit("other"), 256)).otherwise(F.sha2(raw, 256)).alias("sha256"), (F.octet_length("text") + F.when(k == 1, 1).otherwise(0)).alias("byte_size"))
+    return ld.changed_contents(rows, docs.where(k != 0).select("doc_id", raw.alias("content")), "doc_id", "sha256", "byte_size")
+
+
+@query("""SELECT doc_id FROM documents WHERE text IS NOT NULL AND doc_id % 3 = 0""")
+def q14_changed_slices(spark, d):
+    docs = read(spark, d, "documents").where("text is not null")
+    right = F.substring("text", 3, 20)
+    sections = docs.select("doc_id", F.lit(2).alias("char_start"), F.lit(22).alias("char_end"), F.when(F.col("doc_id") % 3 == 0, F.concat(right, F.lit("x" * 21))).otherwise(right).alias("section_text"))
+    return ld.changed_slices(sections, docs, "doc_id").select("doc_id")
+
+
+@query("""SELECT o_orderkey, u.c AS "column" FROM orders, (VALUES ('a', 2), ('b', 3)) u(c, k) WHERE o_orderkey % u.k = 0""")
+def q13_missing_values(spark, d):
+    key = F.col("o_orderkey")
+    rows = read(spark, d, "orders").select("o_orderkey", F.when(key % 2 > 0, "x").alias("a"), F.when(key % 3 > 0, "y").otherwise("  ").alias("b"))
+    return ld.missing_values(rows, "o_orderkey", ["a", "b"])
+
+
+@query("""SELECT event_id FROM events WHERE user_id NOT IN (SELECT o_custkey FROM orders)""")
+def u5_unclaimed_hits(spark, d):
+    claimed = read(spark, d, "orders").select(F.col("o_custkey").alias("user_id"))
+    return ld.unclaimed_hits(read(spark, d, "events").select("event_id", "user_id"), claimed, ["user_id"]).select("event_id")
+
+
 # Rules, grounding -----------------------------------------------------------------------------------------------------
 
 
