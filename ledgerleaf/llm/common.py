@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 from collections.abc import Callable, Iterator
@@ -95,3 +96,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def released(spark: SparkSession) -> None:
+    """Lets executors delete the shuffle files behind tables that have been checkpointed and are no longer held. Spark does so
+    when the driver collects its own garbage, which an idle driver puts off while the files of every round pile up."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
