@@ -133,11 +133,21 @@ def canonical_key(*fields: Column) -> Column:
     return F.sha2(F.concat(F.lit("["), F.concat_ws(",", *map(json_value, fields)), F.lit("]")), 256)
 
 
+#: What can become of a request (fixed values).
+OUTCOMES = ("SUCCESS", "EMPTY", "RETRYABLE_FAILED", "RATE_LIMITED", "CONFIG_ERROR", "PERMANENT_FAILED")
+
+
+def http_class(status: int) -> str:
+    """What an HTTP status means for a fetch."""
+    known = {200: "SUCCESS", 401: "CONFIG_ERROR", 403: "CONFIG_ERROR", 429: "RATE_LIMITED"}
+    return known.get(status, "RETRYABLE_FAILED" if status >= 500 else "PERMANENT_FAILED")
+
+
 def http_outcome(status: Column) -> Column:
-    """What an HTTP status means for a fetch: only RETRYABLE ones are tried again."""
+    """``http_class`` of a column; no status, as after a time-out, may be tried again."""
     return (
-        F.when(status.between(200, 299), "SUCCESS").when(status == 429, "RATE_LIMITED")
-        .when((status == 408) | status.between(500, 599) | status.isNull(), "RETRYABLE").when(status.isin(401, 403), "AUTH_ERROR").otherwise("PERMANENT")
+        F.when(status == 200, "SUCCESS").when(status.isin(401, 403), "CONFIG_ERROR").when(status == 429, "RATE_LIMITED")
+        .when((status >= 500) | status.isNull(), "RETRYABLE_FAILED").otherwise("PERMANENT_FAILED")
     )
 
 

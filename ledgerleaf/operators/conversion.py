@@ -98,7 +98,8 @@ def outcome(call_error: Column, is_object: Column, errors: Column, status: Colum
         .when(status == "FOUND", pair("FOUND", None))
         .when((status == "NOT_FOUND") & ((F.size(missing) > 0) | (sections == 0)), pair("UNDETERMINED", "SOURCE_SECTION_MISSING"))
         .when(status == "NOT_FOUND", pair("NOT_FOUND", "NOT_IN_DOCUMENT"))
-        .otherwise(F.struct(status.alias("status"), F.lit("MODEL_SAYS").alias("reason")))
+        .when(status == "UNDETERMINED", pair("UNDETERMINED", "AMBIGUOUS"))
+        .otherwise(F.struct(status.alias("status"), F.lit("OUT_OF_SCOPE").alias("reason")))
     )
 
 

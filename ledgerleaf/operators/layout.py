@@ -88,3 +88,39 @@ def bookmark_agreement(bookmarks: DataFrame, sections: DataFrame, key: str) -> D
     of_marks = both.groupBy(key).agg(count(F.col("n").isNull(), "bookmark_parts"), count(F.col("n").isNotNull(), "bookmark_sections"), count(F.col("n").isNull() & F.col("_r").isNotNull(), "matched_parts"), count(F.col("n").isNotNull() & F.col("_r").isNotNull(), "matched_sections"))
     of_rules = ruled.groupBy(key).agg(count(F.col("number").isNull(), "rule_parts"), count(F.col("number").isNotNull(), "rule_sections"))
     return bookmarks.select(key).distinct().join(of_marks, key, "left").join(of_rules, key, "left").fillna(0)
+
+
+def reading_order(glyphs: DataFrame, keys: Sequence[str], line: float = 3.0) -> DataFrame:
+    """Glyphs with ``idx``, their place on the page (``keys``) from top to bottom and left to right: those whose tops fall in one
+    band of ``line`` are of one line, wherever the file draws them."""
+    band = F.floor(F.col("top") / F.lit(line))
+    return glyphs.withColumn("idx", F.row_number().over(Window.partitionBy(*keys).orderBy(band, "x0", "top", "x1")) - 1)
+
+
+def cell_labels(hits: DataFrame, pages: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys, box, start, end, label`` of glyphs in boxes (``keys, box, idx``) and page texts (``keys, text``): the box's stretch of
+    each line, joined by one space; boxes without a label have no row. Other boxes' glyphs on the lines stay out."""
+    text = F.col("text")
+    lines = F.length(F.regexp_replace(F.substring(text, F.lit(1), F.col("idx")), r"[^\n]", ""))
+    placed = hits.join(pages.select(*keys, "text"), list(keys)).withColumn("_line", lines)
+    stretch = placed.groupBy(*keys, "box", "_line").agg(F.min("idx").alias("a"), F.max("idx").alias("b"), F.first("text").alias("text"))
+    piece = F.struct(F.col("_line"), F.substring(text, F.col("a") + 1, F.col("b") - F.col("a") + 1).alias("p"))
+    boxes = stretch.select(*keys, "box", "a", "b", piece.alias("piece")).groupBy(*keys, "box")
+    joined = boxes.agg(F.min("a").alias("start"), (F.max("b") + 1).alias("end"), F.array_sort(F.collect_list("piece")).alias("pieces"))
+    label = F.trim(F.regexp_replace(F.array_join(F.transform("pieces", lambda x: x["p"]), " "), r"(?U)\s+", " "))
+    return joined.select(*keys, "box", "start", "end", label.alias("label")).where("label <> ''")
+
+
+def document_digest(sections: DataFrame, blocks: DataFrame, key: str) -> DataFrame:
+    """One row per document for a run's summary: body sections found in and beyond the contents, flags, and blocks by kind with
+    the characters in tables. sections: ``section_kind, char_start, in_toc, quality_flags``; blocks: ``kind, start, end, has_sentences``."""
+    found = (F.col("section_kind") == "body") & F.col("char_start").isNotNull()
+    flagged = lambda f: F.count_if(found & F.array_contains("quality_flags", f))
+    one = sections.groupBy(key).agg(
+        F.count_if(found & F.col("in_toc")).alias("body_found"), F.count_if(found & ~F.col("in_toc")).alias("body_only"), flagged("SHORT_TEXT").alias("short_text"),
+        flagged("BROKEN_CHARS").alias("broken_chars"), F.coalesce(F.bool_or(F.col("section_kind") == "summary"), F.lit(False)).alias("has_summary"),
+    )
+    kinds = blocks.groupBy(key, "kind").agg(F.count("*").alias("n"), F.count_if("has_sentences").alias("s"), F.sum(F.col("end") - F.col("start")).alias("c"))
+    table = lambda c: F.coalesce(F.sum(F.when(F.col("kind") == "table", F.col(c))), F.lit(0))
+    other = kinds.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "n")))).alias("block_counts"), table("n").alias("tables"), table("s").alias("tables_with_sentences"), table("c").alias("table_chars"))
+    return one.join(other, key, "left").fillna(0, ["tables", "tables_with_sentences", "table_chars"])

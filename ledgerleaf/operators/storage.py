@@ -96,3 +96,15 @@ def snapshot_leavers(days: DataFrame, day: str, key: str, complete: str) -> Data
     now = good.join(following, day).where(F.col("_next").isNotNull())
     later = good.select(F.col(day).alias("_d"), F.col(key).alias("_k"))
     return now.join(later, (F.col("_next") == F.col("_d")) & (F.col(key) == F.col("_k")), "left_anti").select(F.col("_next").alias("gone_on"), key)
+
+
+def late_arrivals(found: DataFrame, marks: DataFrame, source: str, day: str) -> DataFrame:
+    """``source, late``: new rows on days that the watermark (``source, watermark``) had already passed, every source with a row."""
+    behind = found.join(marks.select(source, "watermark"), source).where(F.col(day) <= F.col("watermark"))
+    return marks.select(source).join(behind.groupBy(source).agg(F.count("*").alias("late")), source, "left").fillna(0, ["late"])
+
+
+def newest_run(runs: DataFrame, products: DataFrame) -> DataFrame:
+    """The run that began last of those that wrote any of ``products`` (``created_run_id``); of two at once the greater id."""
+    wrote = runs.join(products, runs["run_id"] == products["created_run_id"], "left_semi")
+    return wrote.orderBy(F.desc("started_at"), F.desc("run_id")).limit(1)

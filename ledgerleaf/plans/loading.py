@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.storage import surrogate_ids
+from ..operators.storage import newest, surrogate_ids
 
 
 def joined_or_error(left: DataFrame, right: DataFrame, on: Sequence[str], what: str) -> DataFrame:
@@ -69,3 +69,31 @@ def missing_values(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame
 def unclaimed_hits(hits: DataFrame, claimed: DataFrame, on: Sequence[str]) -> DataFrame:
     """Hits that no claim accounts for."""
     return hits.join(claimed.select(*on).distinct(), list(on), "left_anti")
+
+
+def picked_run(runs: DataFrame, parser: str) -> DataFrame:
+    """``run_id`` of the last whole run (no limit, SUCCEEDED) of a parser version; an error when read if there is none. Ids begin
+    with the time."""
+    last = runs.where((F.col("parser_version") == parser) & F.col("limit").isNull() & (F.col("status") == "SUCCEEDED")).agg(F.max("run_id").alias("run_id"))
+    return last.select(F.coalesce("run_id", F.raise_error(F.lit(f"no whole run of {parser}")).cast("string")).alias("run_id"))
+
+
+def last_lines(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
+    """The last line of each key in a file of JSON lines. Lines stand in the order of the file's splits, then of the scan."""
+    lines = spark.read.text(path).select(F.from_json("value", schema).alias("v"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"))
+    rows = lines.select("v.*", "_at", "_id")
+    return newest(rows, [key], [F.col("_at"), F.col("_id")]).drop("_at", "_id")
+
+
+def count_differences(loaded: dict[str, DataFrame], expected: DataFrame) -> DataFrame:
+    """``table, loaded, expected`` of tables whose row counts differ; ``expected``: ``table, expected``, as counted on disk."""
+    counts = None
+    for name, df in loaded.items():
+        one = df.agg(F.count("*").alias("loaded")).select(F.lit(name).alias("table"), "loaded")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts.join(expected, "table", "full").where(~F.col("loaded").eqNullSafe(F.col("expected"))).select("table", "loaded", "expected")
+
+
+def unwanted_manifests(runs: DataFrame) -> DataFrame:
+    """EXTRACT runs that name a selection manifest, which only other kinds of runs may have."""
+    return runs.where((F.col("run_kind") == "EXTRACT") & (F.col("selection_manifest_path").isNotNull() | F.col("selection_manifest_sha256").isNotNull()))

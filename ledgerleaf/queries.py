@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,9 +20,13 @@ from .operators import layout as ly
 from .operators import lines as ln
 from .operators import matching as mc
 from .operators import metrics as mt
+from .operators import rematch as rm
 from .operators import rules as r
+from .operators import standards as sd
 from .operators import storage as st
 from .plans import loading as ld
+from .plans import replies as rp
+from .sources import collect as co
 from .sources import payloads as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,8 +140,8 @@ def x2_canonical_key(spark, d):
     return read(spark, d, "orders").select("o_orderkey", t.canonical_key(F.col("o_orderkey"), status, F.lit(None).cast("string")).alias("key"))
 
 
-@query("""SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN s BETWEEN 200 AND 299 THEN 'SUCCESS' WHEN s = 429 THEN 'RATE_LIMITED' WHEN s = 408 OR s BETWEEN 500 AND 599 THEN 'RETRYABLE'
-WHEN s IN (401, 403) THEN 'AUTH_ERROR' ELSE 'PERMANENT' END AS outcome FROM (SELECT 200 + event_id % 400 AS s FROM events)) GROUP BY outcome""")
+@query("""SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN s = 200 THEN 'SUCCESS' WHEN s = 429 THEN 'RATE_LIMITED' WHEN s >= 500 THEN 'RETRYABLE_FAILED'
+WHEN s IN (401, 403) THEN 'CONFIG_ERROR' ELSE 'PERMANENT_FAILED' END AS outcome FROM (SELECT 200 + event_id % 400 AS s FROM events)) GROUP BY outcome""")
 def s6_http_outcome(spark, d):
     return read(spark, d, "events").groupBy(t.http_outcome(200 + F.col("event_id") % 400).alias("outcome")).agg(F.count("*").alias("n"))
 
@@ -611,7 +617,7 @@ def e1_e2_replies(spark, d):
 
 
 @query("""SELECT event_id, CASE WHEN k = 0 THEN 'FAILED' WHEN k = 1 THEN 'FAILED' WHEN k = 2 THEN 'FAILED' WHEN k = 3 THEN 'FAILED' WHEN k = 4 THEN 'FOUND' WHEN k = 5 THEN 'UNDETERMINED' WHEN k = 6 THEN 'NOT_FOUND' ELSE 'NOT_APPLICABLE' END AS status,
-CASE k WHEN 0 THEN 'CALL_FAILED' WHEN 1 THEN 'PARSE_FAILED' WHEN 2 THEN 'SCHEMA_INVALID' WHEN 3 THEN 'EVIDENCE_NOT_LOCATED' WHEN 5 THEN 'SOURCE_SECTION_MISSING' WHEN 6 THEN 'NOT_IN_DOCUMENT' WHEN 7 THEN 'MODEL_SAYS' END AS reason FROM (SELECT event_id, event_id % 8 AS k FROM events)""")
+CASE k WHEN 0 THEN 'CALL_FAILED' WHEN 1 THEN 'PARSE_FAILED' WHEN 2 THEN 'SCHEMA_INVALID' WHEN 3 THEN 'EVIDENCE_NOT_LOCATED' WHEN 5 THEN 'SOURCE_SECTION_MISSING' WHEN 6 THEN 'NOT_IN_DOCUMENT' WHEN 7 THEN 'OUT_OF_SCOPE' END AS reason FROM (SELECT event_id, event_id % 8 AS k FROM events)""")
 def e3_e12_e14_outcomes(spark, d):
     k = F.col("event_id") % 8
     status = F.when(k <= 4, "FOUND").when(k <= 6, "NOT_FOUND").otherwise("NOT_APPLICABLE")
@@ -772,6 +778,342 @@ def a14_first_of_each(spark, d):
     return a.first_of_each(read(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], "o_orderkey")
 
 
+# Collecting over a transport -----------------------------------------------------------------------------------------
+
+
+class Replies:
+    """A transport without a network: what it answers depends on the parameters and on how often it was asked for them."""
+
+    def __init__(self) -> None:
+        self.asked: Counter[str] = Counter()
+
+    def __call__(self, endpoint: str, params: dict[str, str]) -> tuple[int, bytes]:
+        key = json.dumps(params, sort_keys=True)
+        self.asked[key] += 1
+        return getattr(self, endpoint)(params, self.asked[key])
+
+    def single(self, params: dict[str, str], n: int) -> tuple[int, bytes]:
+        kind = int(params["id"]) % 6
+        if kind == 3:
+            raise TimeoutError
+        status = {0: 200, 1: 200 if n > 2 else 503, 2: 404, 4: 401, 5: 429}[kind]
+        return status, f"token-7 of {params['id']}".encode()
+
+    def paged(self, params: dict[str, str], n: int) -> tuple[int, bytes]:
+        day, page = int(params["bgn_de"]), int(params["page_no"])
+        if day % 5 == 4:
+            return 200, b'{"status": "013"}'
+        if day % 7 == 3 and page == 2:
+            return 200, b'{"status": "020"}'
+        return 200, json.dumps({"status": "000", "total_page": day % 4 + 1, "list": [{"no": k} for k in range(day % 3 + 1)]}).encode()
+
+
+def _fetched(spark, d):
+    id_ = F.col("c_custkey").cast("string")
+    requests = read(spark, d, "customer").select(id_.alias("request_key"), F.lit("single").alias("endpoint"), F.create_map(F.lit("id"), id_).alias("params"))
+    return co.fetched(requests, Replies, secret="token-7", backoff=0.0, interval=0.0)
+
+
+@query("""SELECT c_custkey::VARCHAR AS request_key, CASE c_custkey % 6 WHEN 2 THEN 'PERMANENT_FAILED' WHEN 3 THEN 'RETRYABLE_FAILED' WHEN 4 THEN 'CONFIG_ERROR' WHEN 5 THEN 'RATE_LIMITED' ELSE 'SUCCESS' END AS outcome,
+CASE c_custkey % 6 WHEN 1 THEN 3 WHEN 3 THEN 6 ELSE 1 END AS n, CASE WHEN c_custkey % 6 < 2 THEN '*** of ' || c_custkey END AS body FROM customer""")
+def s6_s7_fetched(spark, d):
+    return _fetched(spark, d).select("request_key", "outcome", F.size("tries").alias("n"), F.col("content").cast("string").alias("body"))
+
+
+@query("""SELECT c_custkey::VARCHAR AS request_key, n::INT AS attempt_no, CASE WHEN c_custkey % 6 = 0 OR (c_custkey % 6 = 1 AND n = 3) THEN 200 WHEN c_custkey % 6 = 1 THEN 503 WHEN c_custkey % 6 = 2 THEN 404 WHEN c_custkey % 6 = 4 THEN 401 WHEN c_custkey % 6 = 5 THEN 429 END AS http_status,
+CASE WHEN c_custkey % 12 = 0 THEN 'EMPTY' WHEN c_custkey % 6 = 0 OR (c_custkey % 6 = 1 AND n = 3) THEN 'SUCCESS' WHEN c_custkey % 6 IN (1, 3) THEN 'RETRYABLE_FAILED' WHEN c_custkey % 6 = 2 THEN 'PERMANENT_FAILED' WHEN c_custkey % 6 = 4 THEN 'CONFIG_ERROR' ELSE 'RATE_LIMITED' END AS outcome,
+CASE WHEN c_custkey % 12 = 0 THEN 'no rows' WHEN c_custkey % 6 = 0 OR (c_custkey % 6 = 1 AND n = 3) THEN NULL WHEN c_custkey % 6 = 1 THEN 'HTTP 503' WHEN c_custkey % 6 = 2 THEN 'HTTP 404' WHEN c_custkey % 6 = 3 THEN 'TimeoutError' WHEN c_custkey % 6 = 4 THEN 'HTTP 401' ELSE 'HTTP 429' END AS error_reason,
+n = CASE c_custkey % 6 WHEN 1 THEN 3 WHEN 3 THEN 6 ELSE 1 END AS is_last FROM customer, range(1, 7) t(n) WHERE n <= CASE c_custkey % 6 WHEN 1 THEN 3 WHEN 3 THEN 6 ELSE 1 END""")
+def k4_attempt_rows(spark, d):
+    empty = F.col("request_key").cast("long") % 12 == 0
+    return co.attempt_rows(_fetched(spark, d), ("request_key",), F.when(empty, "EMPTY"), F.when(empty, "no rows"))
+
+
+@query("""SELECT o AS outcome, (SELECT count(*) FROM customer WHERE CASE c_custkey % 6 WHEN 2 THEN 'PERMANENT_FAILED' WHEN 3 THEN 'RETRYABLE_FAILED' WHEN 4 THEN 'CONFIG_ERROR' WHEN 5 THEN 'RATE_LIMITED' ELSE 'SUCCESS' END = o) AS n
+FROM (VALUES ('SUCCESS'), ('EMPTY'), ('RETRYABLE_FAILED'), ('RATE_LIMITED'), ('CONFIG_ERROR'), ('PERMANENT_FAILED')) v(o)""")
+def a21_outcome_counts(spark, d):
+    nothing = F.lit(None).cast("string")
+    return co.outcome_counts(co.attempt_rows(_fetched(spark, d), ("request_key",), nothing, nothing))
+
+
+@query("""SELECT o_custkey::VARCHAR AS day, CASE WHEN o_custkey % 5 <> 4 AND o_custkey % 7 = 3 AND o_custkey % 4 > 0 THEN 'RATE_LIMITED' ELSE 'SUCCESS' END AS outcome,
+CASE WHEN o_custkey % 5 = 4 THEN 0 WHEN o_custkey % 7 = 3 THEN o_custkey % 3 + 1 ELSE (o_custkey % 3 + 1) * (o_custkey % 4 + 1) END AS rows FROM (SELECT DISTINCT o_custkey FROM orders)""")
+def s1_listed_days(spark, d):
+    days = read(spark, d, "orders").select(F.col("o_custkey").alias("day")).distinct()
+    return co.day_outcomes(co.listed_days(days, Replies, "paged", {}, ("bgn_de", "end_de"), backoff=0.0, interval=0.0))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'EMPTY_BODY' WHEN 1 THEN 'NOT_A_ZIP' WHEN 2 THEN 'NOT_A_PDF' WHEN 3 THEN 'NO_NODES' END AS problem FROM part""")
+def s2_body_problem(spark, d):
+    k = F.col("p_partkey") % 5
+    role = F.when(k <= 1, "cover_xml").when(k == 3, "viewer_tree").otherwise("body_pdf")
+    body = F.when(k == 0, "").when(k == 4, "%PDF-1.7").otherwise(F.concat(F.lit("%PDF"), F.col("p_name")))
+    return read(spark, d, "part").select("p_partkey", co.body_problem(role, body.cast("binary"), F.lit(0)).alias("problem"))
+
+
+@query("""SELECT user_id, 'https://x' AS endpoint, map_keys(m)[1] AS kept, len(map_keys(m)) AS n FROM (SELECT user_id, MAP {'page': count(*)} AS m FROM events GROUP BY user_id)""")
+def s6_redacted(spark, d):
+    params = F.create_map(F.lit("crtfc_key"), F.lit("k"), F.lit("page"), F.count("*").cast("string"))
+    left = F.map_keys(co.redacted(F.col("p")))
+    return read(spark, d, "events").groupBy("user_id").agg(params.alias("p")).select("user_id", F.lit("https://x").alias("endpoint"), left[0].alias("kept"), F.size(left).cast("long").alias("n"))
+
+
+@query("""SELECT p_brand, sha256('text of ' || p_brand) AS sha256, strlen('text of ' || p_brand) AS size, count(*) AS listed FROM part GROUP BY p_brand""")
+def s16_stored_once(spark, d):
+    return co.stored_once(read(spark, d, "part").select("p_brand", F.concat(F.lit("text of "), "p_brand").cast("binary").alias("content")), "p_brand", "content")
+
+
+@query("""SELECT n_nationkey, n_name AS name, k::INT AS k FROM nation, range(2) t(k)""")
+def s18_daily_items(spark, d):
+    item = lambda k: F.struct(F.col("n_name").alias("name"), F.lit(k).alias("k"))
+    reply = F.to_json(F.struct(F.array(item(0), item(1)).alias("OutBlock_1")))
+    return read(spark, d, "nation").select("n_nationkey", F.inline(co.daily_items(reply, "struct<name:string,k:int>")))
+
+
+@query("""SELECT n_nationkey, unnest(range(2, (n_nationkey * 7 + 9) // 10 + 1))::INT AS page FROM nation""")
+def s17_pages_left(spark, d):
+    return read(spark, d, "nation").select("n_nationkey", F.explode(co.pages_left(F.col("n_nationkey") * 7, F.lit(1), 10)).alias("page"))
+
+
+# Asking a model ------------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT c_custkey, f AS field_name, c_custkey % 3 = 0 AND f = 'redemption_terms' AS excluded FROM customer, (VALUES ('principal_loss_notice'), ('key_risk_phrases'), ('fee_structure'), ('redemption_terms')) v(f)""")
+def e17_field_inputs(spark, d):
+    asked, left_out = rp.field_inputs(read(spark, d, "customer").select("c_custkey"), F.col("c_custkey") % 3 == 0)
+    return asked.withColumn("excluded", F.lit(False)).unionByName(left_out.withColumn("excluded", F.lit(True)))
+
+
+@query("""SELECT l_orderkey, list_sort(list(DISTINCT l_suppkey)) [1] AS least, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_suppkey) > 1""")
+def a17_mixed_sources(spark, d):
+    return rp.mixed_sources(read(spark, d, "lineitem"), "l_orderkey", "l_suppkey").select("l_orderkey", F.col("sources")[0].alias("least"), F.size("sources").cast("long").alias("n"))
+
+
+@query("""SELECT o_orderkey, c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' AND c_nationkey IN (1, 2, 3)""")
+def j4_s13_section_inputs(spark, d):
+    sections = read(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("raw_object_id"), F.col("o_orderstatus").alias("parser_version"))
+    objects = read(spark, d, "customer").select(F.col("c_custkey").alias("raw_object_id"), F.col("c_nationkey").alias("document_id"))
+    return rp.section_inputs(sections, objects, [1, 2, 3], "F").select("o_orderkey", F.col("document_id").alias("c_nationkey"))
+
+
+@query("""WITH a AS (SELECT o_custkey, o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'OK' ELSE 'FAILED' END AS s, o_orderkey % 2 = 0 AS located FROM orders),
+p AS (SELECT o_custkey, arg_max(o_orderkey, (s <> 'FAILED', o_orderkey)) AS id FROM a WHERE s = 'OK' OR located GROUP BY o_custkey)
+SELECT c_custkey, id AS extraction_id, CASE WHEN c_custkey % 4 = 0 THEN 'NO_INPUT' WHEN id IS NOT NULL AND id % 3 > 0 THEN 'REUSE' ELSE 'CALL' END AS plan,
+id IS NOT NULL AND id % 3 = 0 AND c_custkey % 4 > 0 AS prior_missing FROM customer LEFT JOIN p ON c_custkey = o_custkey""")
+def e18_planned(spark, d):
+    path, same = F.col("o_orderkey").cast("string"), [F.lit("x").alias(k) for k in rp.PRIOR_KEYS[1:]]
+    status = F.when(F.col("o_orderstatus") == "F", "OK").otherwise("FAILED")
+    reason = F.when(F.col("o_orderkey") % 2 == 0, "EVIDENCE_NOT_LOCATED").otherwise("CALL_FAILED")
+    orders = read(spark, d, "orders")
+    attempts = orders.select(F.col("o_custkey").alias("document_id"), *same, F.col("o_orderkey").alias("extraction_id"), F.lit("r").alias("run_id"), status.alias("result_status"), reason.alias("error_reason"), path.alias("raw_response_path"), F.sha2(path, 256).alias("response_sha256"))
+    files = orders.where("o_orderkey % 3 > 0 or o_orderkey % 2 > 0").select(path.alias("raw_response_path"), F.when(F.col("o_orderkey") % 3 > 0, path).otherwise("changed").cast("binary").alias("content"))
+    wanted = rp.prior_replies(read(spark, d, "customer").select(F.col("c_custkey").alias("document_id"), *same), attempts)
+    found = rp.planned(wanted, files, F.col("document_id") % 4)
+    return found.select(F.col("document_id").alias("c_custkey"), "prior.extraction_id", "plan", "prior_missing")
+
+
+def _asked(spark, d):
+    def client():
+        times = Counter()
+
+        def converse(prompt: str, text: str) -> tuple[str | None, str | None]:
+            times[text] += 1
+            return (None, "timeout") if int(text) % 3 == 0 or (int(text) % 3 == 1 and times[text] == 1) else (prompt, None)
+
+        return converse
+
+    wanted = read(spark, d, "customer").select(F.col("c_custkey").alias("document_id"), F.lit("f").alias("field_name"), F.lit("p").alias("prompt"), F.col("c_custkey").cast("string").alias("input_text"))
+    return rp.asked(wanted, client, lambda reply, error: ("FAILED", "CALL_FAILED") if error else ("OK", None))
+
+
+@query("""SELECT c_custkey AS document_id, 'f' AS field_name, n::INT AS attempt_no, CASE WHEN ok THEN 'p' END AS reply, CASE WHEN ok THEN 'OK' ELSE 'FAILED' END AS result_status, CASE WHEN NOT ok THEN 'CALL_FAILED' END AS error_reason
+FROM (SELECT c_custkey, n, c_custkey % 3 = 2 OR (c_custkey % 3 = 1 AND n = 2) AS ok FROM customer, range(1, 3) t(n) WHERE c_custkey % 3 < 2 OR n = 1)""")
+def e19_asked(spark, d):
+    return _asked(spark, d)
+
+
+@query("""SELECT c_custkey AS document_id, n::INT AS attempt_no, n = CASE WHEN c_custkey % 3 = 2 THEN 1 ELSE 2 END AS is_selected FROM customer, range(1, 3) t(n) WHERE c_custkey % 3 < 2 OR n = 1""")
+def k10_selected(spark, d):
+    return rp.selected(_asked(spark, d), ("document_id", "field_name")).select("document_id", "attempt_no", "is_selected")
+
+
+@query("""SELECT event_id, unnest(CASE event_id % 8 WHEN 1 THEN ['STATUS'] WHEN 2 THEN ['CONTRACT_VERSION', 'REASON_CODE'] WHEN 3 THEN ['EVIDENCE'] WHEN 4 THEN ['VALUE_NOT_NULL', 'EVIDENCE_NOT_EMPTY'] WHEN 5 THEN ['CHECKED_SECTIONS'] WHEN 6 THEN ['RAW_TEXT', 'VALUE'] WHEN 7 THEN ['1 pieces of evidence for 2'] ELSE []::VARCHAR[] END) AS problem FROM events""")
+def e16_envelope_problems(spark, d):
+    k = F.col("event_id") % 8
+    piece = lambda n: F.struct(F.lit(1).alias("section_id"), F.lit(0).alias("char_start"), F.lit(n).alias("char_end"), F.lit("q").alias("quote"))
+    found, none = ~k.isin(4, 5), F.lit(None).cast("string")
+    rows = read(spark, d, "events").select(
+        "event_id", F.when(k == 1, "LOST").when(k == 4, "UNDETERMINED").when(k == 5, "NOT_FOUND").otherwise("FOUND").alias("status"),
+        F.when(k == 2, 2).otherwise(1).alias("contract_version"), F.lit("key_risk_phrases").alias("field_name"),
+        F.when(k == 2, "AMBIGUOUS").when(k == 4, "AMBIGUOUS").when(k == 5, "NOT_IN_DOCUMENT").alias("reason_code"),
+        F.when(k == 6, none).when(k == 7, '["a", "b"]').when(found | (k == 4), '["a"]').alias("value"), F.when(found & (k != 6), "a").alias("raw_text"),
+        F.when(k == 5, F.array().cast("array<struct<section_id:int,char_start:int,char_end:int,quote:string>>")).when(k == 3, F.array(piece(0))).otherwise(F.array(piece(1))).alias("evidence"),
+        F.array().cast("array<int>").alias("checked_section_ids"),
+    )
+    return rp.envelope_problems(rows).select("event_id", F.explode("problems").alias("problem"))
+
+
+@query("""SELECT c_custkey AS document_id, 'f' AS field_name, CASE WHEN p <> 'SELECTED' THEN 1 END AS attempt_no, p AS problem FROM (SELECT c_custkey, CASE c_custkey % 7 WHEN 1 THEN 'INPUT_SHA256' WHEN 2 THEN 'EVIDENCE_COLUMNS' WHEN 3 THEN 'NO_REASON' WHEN 4 THEN 'RESPONSE_SHA256' WHEN 5 THEN 'FOREIGN_INPUT' WHEN 6 THEN 'SELECTED' END AS p FROM customer) WHERE p IS NOT NULL""")
+def q15_run_problems(spark, d):
+    id_, k = F.col("c_custkey"), F.col("c_custkey") % 7
+    name = id_.cast("string")
+    keys = [id_.alias("document_id"), F.lit("f").alias("field_name"), F.lit(1).alias("attempt_no")]
+    rows = read(spark, d, "customer")
+    evidence = F.array(F.struct(F.lit(1).alias("section_id"), F.lit(0).alias("char_start"), F.lit(5).alias("char_end")))
+    attempts = rows.select(
+        *keys, F.when(k == 3, "FAILED").otherwise("OK").alias("result_status"), F.lit(None).cast("string").alias("error_reason"), F.sha2(name, 256).alias("input_sha256"), name.alias("raw_response_path"),
+        F.sha2(name, 256).alias("response_sha256"), (k != 6).alias("is_selected"), evidence.alias("evidence"), F.lit(1).alias("evidence_section_id"), F.when(k == 2, 1).otherwise(0).alias("evidence_char_start"), F.lit(5).alias("evidence_char_end"),
+    )
+    requests = rows.select(*keys, F.when(k == 1, "other").otherwise(name).alias("input_text"), F.sha2(name, 256).alias("stated_sha256"), F.array(id_).alias("raw_object_ids"))
+    files = rows.where(k != 4).select(name.alias("raw_response_path"), name.cast("binary").alias("content"))
+    objects = rows.select(id_.alias("raw_object_id"), F.when(k == 5, -1).otherwise(id_).alias("document_id"))
+    return rp.run_problems(attempts, requests, files, objects)
+
+
+# Names, standards and runs -------------------------------------------------------------------------------------------
+
+
+@query("""WITH l AS (SELECT p_partkey, upper(replace(p_name, ' ', '')) AS v FROM part), n AS (SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN v || '증권' WHEN 1 THEN 'X' || v WHEN 2 THEN v || 'X' ELSE v END AS t FROM supplier JOIN l ON s_suppkey = p_partkey),
+h AS (SELECT p_partkey, count(DISTINCT s_suppkey) AS n, min(s_suppkey) AS fund FROM l JOIN n ON contains(t, v) AND regexp_matches(substr(t, strpos(t, v) + length(v)), '^(증권|$)') GROUP BY p_partkey)
+SELECT p_partkey AS code, CASE WHEN n = 1 THEN 'MATCHED' WHEN n > 1 THEN 'AMBIGUOUS' ELSE 'NO_CANDIDATE' END AS status, coalesce(n, 0) AS n, CASE WHEN n = 1 THEN fund END AS fund FROM part LEFT JOIN h USING (p_partkey)""")
+def j14_rematched(spark, d):
+    listed = read(spark, d, "part").select(F.col("p_partkey").alias("code"), F.col("p_name").alias("name"))
+    k = F.col("s_suppkey") % 4
+    named = F.when(k == 0, F.concat("name", F.lit("증권"))).when(k == 1, F.concat(F.lit("x"), "name")).when(k == 2, F.concat("name", F.lit("x"))).otherwise(F.col("name"))
+    funds = read(spark, d, "supplier").join(listed, F.col("s_suppkey") == F.col("code")).select(F.col("s_suppkey").alias("fund"), named.alias("name"))
+    return rm.rematched(listed, funds)
+
+
+@query()
+def j15_similar(spark, d):
+    parts = read(spark, d, "part").select("p_partkey", "p_brand", "p_type", rm.core_name(F.col("p_name")).alias("core"))
+    listed, funds = parts.where("p_partkey % 2 = 0"), parts.where("p_partkey % 2 = 1")
+    return rm.similar(listed.withColumnRenamed("p_partkey", "code"), funds.withColumnRenamed("p_partkey", "fund"), ["p_brand", "p_type"], 0.6, 0.05)
+
+
+@query("""SELECT *, CASE WHEN miss_rate >= 0.01 THEN 'REDESIGN' WHEN false_high >= 0.01 THEN 'LIST_DECIDES' ELSE 'KEEP' END AS verdict FROM (SELECT listed, matched, missed, hits, leftover, missed / matched AS miss_rate, leftover / hits AS false_high, greatest(leftover - (listed - matched), 0) / hits AS false_low
+FROM (SELECT count(*) AS listed, count_if(c_nationkey > 2) AS matched, count_if(c_nationkey > 2 AND c_custkey % 40 = 0) AS missed FROM customer), (SELECT count(*) AS hits, count_if(o_orderstatus = 'F') AS leftover FROM orders))""")
+def a20_rule_bounds(spark, d):
+    listed = read(spark, d, "customer").select((F.col("c_nationkey") > 2).alias("matched"), (F.col("c_custkey") % 40 == 0).alias("missed"))
+    return rm.rule_bounds(listed, read(spark, d, "orders").select((F.col("o_orderstatus") != "F").alias("claimed")))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 'CLAIMED' WHEN o_orderdate > DATE '1997-01-01' THEN 'PENDING' ELSE 'FALSE_POSITIVE' END AS status FROM orders""")
+def x4_unclaimed_status(spark, d):
+    return read(spark, d, "orders").select("o_orderkey", rm.unclaimed_status(F.col("o_orderstatus") == "O", F.col("o_orderdate"), F.lit("1997-01-01").cast("date")).alias("status"))
+
+
+@query("""SELECT c_custkey, n_nationkey % 6 AS fund_grade, CASE WHEN c_custkey % 6 <> n_nationkey % 6 THEN 'CLASS_GRADE_MISMATCH' END AS flag FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def x7_grade_flags(spark, d):
+    classes = read(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("k"), (F.col("c_custkey") % 6).alias("grade"))
+    funds = read(spark, d, "nation").select(F.col("n_nationkey").alias("k"), (F.col("n_nationkey") % 6).alias("grade"))
+    return rm.grade_flags(classes, funds, "k").select("c_custkey", "fund_grade", "flag")
+
+
+@query("""SELECT reason, retry, counts, count(*) AS n, count_if(due) AS due FROM (SELECT *, CASE retry WHEN 'DAILY_FOR_30_DAYS' THEN age BETWEEN 1 AND 30 WHEN 'WEEKLY' THEN age > 0 AND age % 7 = 0 WHEN 'WITH_EXTRACTION' THEN true WHEN 'WITH_MASTER' THEN false ELSE false END AS due FROM (
+SELECT r.*, datediff('day', o_orderdate::DATE, DATE '1995-03-15') AS age FROM orders JOIN (VALUES (0, 'PENDING_MASTER', 'DAILY_FOR_30_DAYS', true), (1, 'AMBIGUOUS', 'BY_HAND', true), (2, 'NO_CANDIDATE', 'WEEKLY', true), (3, 'NO_CODE_IN_SOURCE', 'NEVER', true), (4, 'BELOW_THRESHOLD', 'NEVER', true),
+(5, 'NORMALIZE_FAILED', 'WITH_EXTRACTION', true), (6, 'CLASS_GRADE_MISMATCH', 'NEVER', true), (7, 'OUT_OF_SCOPE_SECTOR', 'NEVER', false), (8, 'NOT_IN_MASTER', 'WITH_MASTER', false)) r(k, reason, retry, counts) ON o_orderkey % 10 = r.k)) GROUP BY ALL""")
+def x17_failure_log(spark, d):
+    reason = F.get(F.array(*map(F.lit, rm.RETRY)), (F.col("o_orderkey") % 10).cast("int"))
+    log = rm.failure_log(read(spark, d, "orders").select("o_orderkey", "o_orderdate"), reason, F.col("o_orderdate").cast("date"))
+    again = rm.due(log, F.lit("1995-03-15").cast("date"), F.lit(True), F.lit(False)).select("o_orderkey", F.lit(True).alias("due"))
+    return log.join(again, "o_orderkey", "left").groupBy("reason", "retry", "counts").agg(F.count("*").alias("n"), F.count_if("due").alias("due"))
+
+
+_ITEMS = ("a", "b", "c", "d")
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'MET' ELSE 'UNMET' END AS status, CASE c_custkey % 4 WHEN 1 THEN 3 WHEN 3 THEN 0 ELSE 4 END AS found, 4 AS required, CASE c_custkey % 4 WHEN 1 THEN 'c' WHEN 3 THEN 'a,b,c,d' ELSE '' END AS missing, CASE c_custkey % 4 WHEN 2 THEN 'b,c' ELSE '' END AS moved,
+CASE c_custkey % 4 WHEN 3 THEN 'UNMET' ELSE 'MET' END AS place FROM customer""")
+def x12_standard_difference(spark, d):
+    k = F.col("c_custkey") % 4
+    items = lambda s: F.array(*map(F.lit, s)) if s else F.array().cast("array<string>")
+    found = F.when(k == 0, items("axbcd")).when(k == 1, items("abd")).when(k == 2, items("acbd")).otherwise(items(""))
+    rows = read(spark, d, "customer").select("c_custkey", sd.standard_difference(items(_ITEMS), found).alias("d"), sd.position_check(found, "a", 1).alias("place"))
+    return rows.select("c_custkey", "d.status", "d.found", "d.required", F.array_join("d.missing_items", ",").alias("missing"), F.array_join("d.order_differs_items", ",").alias("moved"), "place")
+
+
+@query("""SELECT c_custkey, sha256('{"anchor":' || c_custkey || ',"contract_version":3,"selection_policy_version":"v1","target_type":"FUND"}') AS target_key FROM customer""")
+def x13_target_key(spark, d):
+    return read(spark, d, "customer").select("c_custkey", sd.target_key(F.lit("FUND"), F.col("c_custkey"), F.lit("v1")).alias("target_key"))
+
+
+@query("""SELECT n_nationkey, '{"part_a_disclosure":{"items":[{"item_key":"' || n_name || '","status":"MET"}]},"part_b_readability":{"axes":[{"axis":1,"result":{"status":"OK","value":' || n_nationkey || ',"reason":null}}],"metric_key":"m","weights_version":"w","result":{"status":"OK","value":1,"reason":null},"normalization":null,"fix_locations":[]},"drafting_standard_check":{"prospectus":null,"summary_prospectus":null}}' AS envelope FROM nation""")
+def x15_dashboard_envelope(spark, d):
+    none, ok = F.lit(None).cast("string"), F.lit("OK")
+    items = F.array(F.struct(F.col("n_name").alias("item_key"), F.lit("MET").alias("status")))
+    axes = F.array(F.struct(F.lit(1).alias("axis"), sd.result(ok, F.col("n_nationkey"), none).alias("result")))
+    empty = F.array().cast("array<string>")
+    whole = sd.dashboard_envelope(items, axes, F.lit("m"), F.lit("w"), sd.result(ok, F.lit(1), none), none, empty, none, none)
+    return read(spark, d, "nation").select("n_nationkey", whole.alias("envelope"))
+
+
+@query("""SELECT source, count(*) AS sections, count_if(both_) AS shared, count_if(both_) / count(*) AS rate FROM (SELECT source, min(source) OVER (PARTITION BY text) <> max(source) OVER (PARTITION BY text) AS both_ FROM (SELECT source, regexp_replace(text, '[\\s\\x0B\\x85\\p{Z}]', '', 'g') AS text FROM documents WHERE text IS NOT NULL)) GROUP BY source""")
+def x16_shared_sections(spark, d):
+    return sd.shared_sections(read(spark, d, "documents"), "source", "text")
+
+
+@query("""SELECT event_type, count_if(event_id % 5 = 0 AND user_id <= 50) AS late FROM events GROUP BY event_type""")
+def m3_late_arrivals(spark, d):
+    events = read(spark, d, "events")
+    marks = events.select("event_type").distinct().withColumn("watermark", F.lit(50))
+    return st.late_arrivals(events.where("event_id % 5 = 0").select("event_type", "user_id"), marks, "event_type", "user_id")
+
+
+@query("""SELECT o_orderkey AS run_id, o_orderdate AS started_at FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1""")
+def o2_j8_newest_run(spark, d):
+    runs = read(spark, d, "orders").select(F.col("o_orderkey").alias("run_id"), F.col("o_orderdate").alias("started_at"))
+    return st.newest_run(runs, read(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("created_run_id")))
+
+
+@query("""SELECT max(lpad(o_orderkey::VARCHAR, 9, '0')) AS run_id FROM orders WHERE o_orderpriority = '1-URGENT' AND o_custkey % 2 = 1 AND o_orderstatus = 'F'""")
+def s11_picked_run(spark, d):
+    status = F.when(F.col("o_orderstatus") == "F", "SUCCEEDED").otherwise("FAILED")
+    runs = read(spark, d, "orders").select(F.lpad(F.col("o_orderkey").cast("string"), 9, "0").alias("run_id"), F.col("o_orderpriority").alias("parser_version"), F.when(F.col("o_custkey") % 2 == 0, 10).alias("limit"), status.alias("status"))
+    return ld.picked_run(runs, "1-URGENT")
+
+
+@query("""SELECT 'orders' AS "table", (SELECT count(*) FROM orders) AS loaded, (SELECT count(*) + 1 FROM orders) AS expected UNION ALL SELECT 'gone', NULL, 3""")
+def q1_count_differences(spark, d):
+    orders, nation = read(spark, d, "orders"), read(spark, d, "nation")
+    expected = orders.agg((F.count("*") + 1).alias("expected")).select(F.lit("orders").alias("table"), "expected")
+    expected = expected.unionByName(nation.agg(F.count("*").alias("expected")).select(F.lit("nation").alias("table"), "expected")).unionByName(spark.createDataFrame([("gone", 3)], "table string, expected long"))
+    return ld.count_differences({"orders": orders, "nation": nation}, expected)
+
+
+@query("""SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O' AND (o_orderkey % 5 = 0 OR o_orderkey % 7 = 0)""")
+def q11_unwanted_manifests(spark, d):
+    k, kind = F.col("o_orderkey"), F.when(F.col("o_orderstatus") == "O", "EXTRACT").otherwise("SCORE")
+    runs = read(spark, d, "orders").select("o_orderkey", kind.alias("run_kind"), F.when(k % 5 == 0, "p").alias("selection_manifest_path"), F.when(k % 7 == 0, "s").alias("selection_manifest_sha256"))
+    return ld.unwanted_manifests(runs).select("o_orderkey")
+
+
+@query("""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, (row_number() OVER (PARTITION BY l_orderkey ORDER BY floor(l_quantity / 3), l_linenumber, l_quantity, l_suppkey, l_partkey) - 1)::INT AS idx FROM lineitem""")
+def t28_reading_order(spark, d):
+    glyphs = read(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", F.col("l_quantity").alias("top"), F.col("l_linenumber").alias("x0"), F.struct("l_suppkey", "l_partkey").alias("x1"))
+    return ly.reading_order(glyphs, ["l_orderkey"]).drop("top", "x0", "x1")
+
+
+@query("""SELECT c_custkey, 1 AS box, 1 AS start, 9 AS "end", 'b c ' || 'fg' AS label FROM customer""")
+def t26_cell_labels(spark, d):
+    rows = read(spark, d, "customer").select("c_custkey")
+    hits = rows.select("c_custkey", F.lit(1).alias("box"), F.explode(F.array(*map(F.lit, (1, 3, 7, 8)))).alias("idx"))
+    return ly.cell_labels(hits, rows.withColumn("text", F.lit("ab cd\nefgh\n")), ["c_custkey"])
+
+
+@query("""WITH s AS (SELECT o_custkey, count_if(o_orderstatus <> 'P' AND o_orderkey % 3 > 0 AND o_orderkey % 2 = 0) AS body_found, count_if(o_orderstatus <> 'P' AND o_orderkey % 3 > 0 AND o_orderkey % 2 > 0) AS body_only,
+count_if(o_orderstatus = 'F' AND o_orderkey % 3 > 0) AS short_text, 0 AS broken_chars, bool_or(o_orderstatus = 'P') AS has_summary FROM orders GROUP BY o_custkey), b AS (SELECT user_id, count(*) AS blocks, count_if(event_type = 'click') AS tables, count_if(event_type = 'click' AND event_id % 2 = 0) AS tables_with_sentences, 4 * count_if(event_type = 'click') AS table_chars FROM events GROUP BY user_id)
+SELECT o_custkey, body_found, body_only, short_text, broken_chars, has_summary, blocks, coalesce(tables, 0) AS tables, coalesce(tables_with_sentences, 0) AS tables_with_sentences, coalesce(table_chars, 0) AS table_chars FROM s LEFT JOIN b ON o_custkey = user_id""")
+def a8_document_digest(spark, d):
+    k, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    flags = F.when(status == "F", F.array(F.lit("SHORT_TEXT"))).otherwise(F.array().cast("array<string>"))
+    sections = read(spark, d, "orders").select("o_custkey", F.when(status == "P", "summary").otherwise("body").alias("section_kind"), F.when(k % 3 > 0, 1).alias("char_start"), (k % 2 == 0).alias("in_toc"), flags.alias("quality_flags"))
+    kind = F.when(F.col("event_type") == "click", "table").otherwise(F.col("event_type"))
+    blocks = read(spark, d, "events").select(F.col("user_id").alias("o_custkey"), kind.alias("kind"), F.lit(1).alias("start"), F.lit(5).alias("end"), (F.col("event_id") % 2 == 0).alias("has_sentences"))
+    blocks_of = F.aggregate(F.map_values("block_counts"), F.lit(0).cast("long"), lambda x, y: x + y)
+    return ly.document_digest(sections, blocks, "o_custkey").withColumn("blocks", blocks_of).drop("block_counts")
+
+
 def entry(spark: SparkSession, d: str) -> DataFrame:
     """The flagship: short lines of each document as headings, with the ranges that they open."""
     return t14_heading_ranges(spark, d)
