@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, released
 
 
 def _with_least(pairs: DataFrame, own: bool) -> DataFrame:
@@ -25,7 +25,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``node, root`` of every node that has an edge; ``edges`` has columns a and b of one type that orders. The root is
     the component's least node. Loops and repeated edges count nothing; no edges, no rows.
 
-    Each round's pairs go to the checkpoint folder, so that a lost executor costs at most one round."""
+    Each round's pairs go to the checkpoint folder, so that a lost executor costs at most one round; the shuffle files behind
+    them are let go round by round, for many small files take more room than the pairs themselves."""
     pairs = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     pairs = checkpointed(pairs)
     before = _summary(pairs)
@@ -37,6 +38,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         found = _with_least(large, own=False)
         small = found.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(found.select("u", F.col("m").alias("v")))
         pairs = checkpointed(small.distinct())
+        del both, large, found, small  # what holds the round's shuffle files
+        released(pairs.sparkSession)
         after = _summary(pairs)
         if after == before:
             break
