@@ -15,7 +15,7 @@ from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import map_lists, read
+from .common import kept, map_lists, read
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -216,15 +216,9 @@ class TextEncoder:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids))
 
 
-_encoders: dict[tuple[str, str], TextEncoder] = {}
-
-
 def encoder(ranks_path: str, pattern: str) -> TextEncoder:
     """The worker process's encoder, kept between tasks."""
-    key = (ranks_path, pattern)
-    if key not in _encoders:
-        _encoders[key] = TextEncoder(*key)
-    return _encoders[key]
+    return kept(("bpe", ranks_path, pattern), lambda: TextEncoder(ranks_path, pattern))
 
 
 def _defaults(ranks_path: str | None, pattern: str | None) -> tuple[str, str]:

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, map_lists, read
+from .common import checkpointed, kept, map_lists, read
 
 LETTERS = re.compile(r"[^\W\d_]+").findall
 ORDER = 4
@@ -281,9 +281,6 @@ def fit(docs: DataFrame, per_language: int = 600, order: int = ORDER) -> Languag
     return models
 
 
-_scorers: dict[str, Scorer] = {}  # of this worker process, by model
-
-
 def predict(docs: DataFrame, models: LanguageModels, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, lang_pred, score, rejected``; one row per input row, from its whole text.
 
@@ -293,10 +290,8 @@ def predict(docs: DataFrame, models: LanguageModels, id_col: str = "doc_id", tex
     key = uuid.uuid4().hex
 
     def run(ids, held, texts):
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(shared.value)
-        found = [_scorers[key].predict(t) for t in texts]
+        scorer = kept(key, lambda: Scorer(shared.value))
+        found = [scorer.predict(t) for t in texts]
         return [ids, held, [x[0] for x in found], [x[1] for x in found], [x[2] for x in found]]
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -313,10 +308,8 @@ def accepted(docs: DataFrame, per_language: int = 600) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            if key not in _scorers:
-                _scorers.clear()
-                _scorers[key] = Scorer(shared.value)
-            yield batch.filter(pa.array([not _scorers[key].predict(t.as_py())[2] for t in batch.column(at)], pa.bool_()))
+            scorer = kept(key, lambda: Scorer(shared.value))
+            yield batch.filter(pa.array([not scorer.predict(t.as_py())[2] for t in batch.column(at)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
