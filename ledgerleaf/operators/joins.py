@@ -11,18 +11,17 @@ from pyspark.sql import functions as F
 def containing(longer: DataFrame, shorter: DataFrame, text: str, part: str, gram: int = 3) -> DataFrame:
     """Pairs in which ``text`` contains ``part``, without comparing all with all: a part can only be in a text that has the
     part's first ``gram`` characters somewhere; a shorter part must be one of the text's stretches of its own length.
-    Empty parts match nothing."""
+    Empty parts match nothing. Equal texts are searched once; their rows are then streamed past what was found, unsorted."""
 
-    def keyed(size: int) -> DataFrame:
-        count = F.greatest(F.length(text) - size + 1, F.lit(0))
-        grams = F.array_distinct(F.transform(F.sequence(F.lit(1), count), lambda i: F.substring(F.col(text), i, F.lit(size))))
-        return longer.where(F.length(text) >= size).withColumn("_gram", F.explode(grams))
+    def stretches(size: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length("_searched") - size + 1)
+        return F.when(F.length("_searched") >= size, F.transform(starts, lambda i: F.substring(F.col("_searched"), i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
 
-    parts = shorter.where(F.length(part) >= gram).withColumn("_head", F.substring(F.col(part), 1, gram))
-    out = keyed(gram).join(parts, (F.col("_gram") == F.col("_head")) & F.contains(F.col(text), F.col(part))).drop("_gram", "_head")
-    for size in range(1, gram):
-        out = out.unionByName(keyed(size).join(shorter.where(F.length(part) == size), F.col("_gram") == F.col(part)).drop("_gram"))
-    return out
+    grams = F.array_distinct(F.concat(*map(stretches, range(1, gram + 1))))
+    texts = longer.select(F.col(text).alias("_searched")).distinct().withColumn("_gram", F.explode(grams))
+    parts = shorter.withColumn("_head", F.substring(F.col(part), 1, gram))
+    pairs = texts.join(parts, (F.col("_gram") == F.col("_head")) & F.contains("_searched", F.col(part))).drop("_gram", "_head")
+    return longer.join(pairs.hint("shuffle_hash"), F.col(text) == F.col("_searched")).drop("_searched")
 
 
 def as_of(left: DataFrame, right: DataFrame, on: Sequence[str], at: str, valid_from: str, bring: Sequence[str]) -> DataFrame:
