@@ -58,9 +58,14 @@ def rematched(listed: DataFrame, funds: DataFrame, aliases: dict[str, list[str]]
     legal = tail == ""
     for t in tails:
         legal = legal | tail.startswith(t)
-    hits = containing(named, keys, "_text", "variant").where(legal & (F.col("_hedged") == F.col("_fund_hedged")))
-    counted = hits.groupBy("code", "at").agg(F.count_distinct("fund").alias("n"), F.min("fund").alias("fund"))
-    first = counted.groupBy("code").agg(F.min_by(F.struct("n", "fund"), "at").alias("f"))
+    # Names are compared once however many products and funds bear them; a code's variants at one place are nearly always one.
+    texts, variants = named.select("_text", "_fund_hedged").distinct(), keys.select("variant", "_hedged").distinct()
+    hits = containing(texts, variants, "_text", "variant").where(legal & (F.col("_hedged") == F.col("_fund_hedged")))
+    found = hits.join(named, ["_text", "_fund_hedged"]).select("variant", "_hedged", "fund")
+    asked = keys.groupBy("code", "at").agg(F.array_sort(F.collect_set(F.struct("variant", "_hedged"))).alias("_asked"))
+    sets = asked.select("_asked").distinct().select("_asked", F.inline("_asked"))
+    counted = sets.join(found, ["variant", "_hedged"]).groupBy("_asked").agg(F.count_distinct("fund").alias("n"), F.min("fund").alias("fund"))
+    first = asked.join(counted.hint("shuffle_hash"), "_asked").groupBy("code").agg(F.min_by(F.struct("n", "fund"), "at").alias("f"))
     n = F.coalesce("f.n", F.lit(0))
     status = F.when(n == 1, "MATCHED").when(n > 1, "AMBIGUOUS").otherwise("NO_CANDIDATE")
     return listed.select("code").join(first, "code", "left").select("code", status.alias("status"), n.cast("long").alias("n"), F.when(n == 1, F.col("f.fund")).alias("fund"))

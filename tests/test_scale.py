@@ -3,6 +3,7 @@
 from collections import Counter
 
 from ledgerleaf.operators import joins
+from ledgerleaf.operators import rematch as rm
 
 
 def test_containing_streams_the_rows_of_equal_texts(spark):
@@ -13,3 +14,19 @@ def test_containing_streams_the_rows_of_equal_texts(spark):
     assert Counter((r.i, r.p) for r in joined.select("i", "p").collect()) == want
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "Generate" in plan
+
+
+def test_rematched_compares_each_name_once(spark, monkeypatch):
+    sizes = []
+
+    def counted(longer, shorter, *names):
+        sizes.append((longer.count(), shorter.count()))
+        return joins.containing(longer, shorter, *names)
+
+    monkeypatch.setattr(rm, "containing", counted)
+    listed = spark.createDataFrame([(i, "ACE one" if i < 40 else "two") for i in range(60)] + [(7, "two"), (99, None)], "code int, name string")
+    funds = spark.createDataFrame([(i, "KINDEX one증권" if i < 30 else "two") for i in range(31)] + [(30, "x two"), (None, "two")], "fund int, name string")
+    got = {r.code: (r.status, r.n, r.fund) for r in rm.rematched(listed, funds).collect()}
+    assert sizes == [(3, 3)] or sizes == [(3, 4)]  # the null name is a variant too
+    assert got[0] == ("AMBIGUOUS", 30, None) and got[59] == ("MATCHED", 1, 30) and got[99] == ("NO_CANDIDATE", 0, None)
+    assert got[7] == ("MATCHED", 1, 30)  # of its two names the one found at place 0
