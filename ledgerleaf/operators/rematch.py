@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -21,6 +21,8 @@ TAILS = ("증권", "특별자산", "상장지수", "파생", "부동산", "채
 LEAST_RATIO, MARGIN = 0.85, 0.05
 LEGAL_TAIL = "증권상장|특별자산상장|부동산상장|상장지수|증권투자신탁"
 RULE_LIMIT = 0.01
+#: Into how many tasks the pairs of one brand are dealt.
+SHARES = 16
 #: When a failed match is tried again, and whether it counts in the failure rate.
 RETRY = {
     "PENDING_MASTER": ("DAILY_FOR_30_DAYS", True),
@@ -86,8 +88,20 @@ def core_name(name: Column) -> Column:
 def similar(listed: DataFrame, funds: DataFrame, brand: Sequence[str], least: float = LEAST_RATIO, margin: float = MARGIN) -> DataFrame:
     """``code, fund, score, second``: the most similar fund of the same brand (both sides: ``brand`` columns, ``core``), if it is
     ``least`` or more and ``margin`` above the second. For a person to confirm."""
-    pairs = listed.select("code", *brand, "core").join(funds.select("fund", *brand, F.col("core").alias("_core")), list(brand))
-    return best_with_margin(pairs.select("code", "fund", ratio("core", "_core").alias("_r")), ["code"], F.col("_r"), "fund", least, margin)
+    # Equal names are compared once. Of the funds of one name only the first two can be best and second. Shares deal a
+    # brand's pairs over many tasks.
+    name, spark = [*brand, "core"], listed.sparkSession
+    first = Window.partitionBy(*name).orderBy("fund")
+    two = funds.where("core is not null").select("fund", *name).withColumn("_n", F.row_number().over(first)).where("_n <= 2")
+    theirs = two.groupBy(*name).agg(F.collect_list(F.struct("fund")).alias("_funds")).withColumnRenamed("core", "_core")
+    asked = listed.where("core is not null").select(*name).distinct().withColumn("_share", F.pmod(F.xxhash64("core"), F.lit(SHARES)))
+    asked = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *brand, "_share")
+    dealt = theirs.withColumn("_share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SHARES - 1).cast("long"))))
+    scored = asked.join(dealt.hint("shuffle_merge"), [*brand, "_share"]).select(*name, "_funds", ratio("core", "_core").alias("_r"))
+    best = Window.partitionBy(*name).orderBy(F.desc("_r"), "fund")
+    top = scored.select(*name, "_r", F.inline("_funds")).withColumn("_n", F.row_number().over(best)).where("_n <= 2").drop("_n")
+    pairs = listed.select("code", *name).join(top.hint("shuffle_hash"), name)
+    return best_with_margin(pairs.select("code", "fund", "_r"), ["code"], F.col("_r"), "fund", least, margin)
 
 
 def unclaimed_status(claimed: Column, set_on: Column, listed_on: Column) -> Column:

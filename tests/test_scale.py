@@ -1,7 +1,12 @@
 """Steps whose work must not grow with the square of repeated names, and batches of bounded size."""
 
+import random
 from collections import Counter
 
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
 from ledgerleaf.operators import joins
 from ledgerleaf.operators import rematch as rm
 
@@ -30,3 +35,25 @@ def test_rematched_compares_each_name_once(spark, monkeypatch):
     assert sizes == [(3, 3)] or sizes == [(3, 4)]  # the null name is a variant too
     assert got[0] == ("AMBIGUOUS", 30, None) and got[59] == ("MATCHED", 1, 30) and got[99] == ("NO_CANDIDATE", 0, None)
     assert got[7] == ("MATCHED", 1, 30)  # of its two names the one found at place 0
+
+
+def test_similar_compares_each_name_once_and_gives_what_all_pairs_give(spark, monkeypatch):
+    calls, plain, each = spark.sparkContext.accumulator(0), rm.ratio, rm.ratio.func
+
+    @F.pandas_udf(DoubleType())
+    def counted(left: pd.Series, right: pd.Series) -> pd.Series:
+        calls.add(len(left))
+        return each(left, right)
+
+    rng = random.Random(3)
+    names = ["large ring", "large bolt", "old plate", "cold plate", "large rings", None]
+    sides = [[(i, rng.choice("ab"), rng.choice(names)) for i in rng.choices(range(80), k=90)] for _ in range(2)]
+    listed = spark.createDataFrame(sides[0], "code int, brand string, core string")
+    funds = spark.createDataFrame(sides[1], "fund int, brand string, core string")
+    for least, margin in ((0.6, 0.0), (0.6, 0.05), (0.9, 0.01)):
+        pairs = listed.join(funds.withColumnRenamed("core", "_core"), "brand").select("code", "fund", plain("core", "_core").alias("r"))
+        want = joins.best_with_margin(pairs, ["code"], F.col("r"), "fund", least, margin)
+        monkeypatch.setattr(rm, "ratio", counted)
+        got = rm.similar(listed, funds, ["brand"], least, margin)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())), (least, margin)
+    assert 0 < calls.value <= 3 * 2 * 5 * 5
