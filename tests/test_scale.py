@@ -57,3 +57,15 @@ def test_similar_compares_each_name_once_and_gives_what_all_pairs_give(spark, mo
         got = rm.similar(listed, funds, ["brand"], least, margin)
         assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())), (least, margin)
     assert 0 < calls.value <= 3 * 2 * 5 * 5
+
+
+def test_group_similarity_gives_every_pair(spark):
+    rows = [(0, "a", "x y"), (1, "a", "y x"), (2, "a", "x x z"), (2, "a", "q"), (3, "b", "x y"), (4, "a", None), (5, None, "x"), (6, None, "x"), (7, "a", "")]
+    got = joins.group_similarity(spark.createDataFrame(rows, "i int, g string, n string"), ["g"], "i", "n")
+    want = []
+    for i, g, n in rows:
+        for k, h, m in rows:
+            if g is not None and g == h and i < k:
+                x, y = (None if s is None else set(s.split(" ")) for s in (n, m))
+                want.append((i, k, None if x is None or y is None else len(x & y) / len(x | y)))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
