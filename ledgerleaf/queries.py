@@ -809,6 +809,7 @@ class Replies:
 def _fetched(spark, d):
     id_ = F.col("c_custkey").cast("string")
     requests = read(spark, d, "customer").select(id_.alias("request_key"), F.lit("single").alias("endpoint"), F.create_map(F.lit("id"), id_).alias("params"))
+    requests = requests.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "request_key")  # a small file is one partition, however many rows it has
     return co.fetched(requests, Replies, secret="token-7", backoff=0.0, interval=0.0)
 
 

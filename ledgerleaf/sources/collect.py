@@ -20,6 +20,7 @@ Transport = Callable[[], Send]
 
 # Fixed values.
 RETRIES = 5
+MOST_ROWS, MOST_BYTES = 1000, 1 << 23  # of replies sent to Spark at once
 SECRETS = ("crtfc_key", "serviceKey")
 #: What the status within a list reply means; any other is PERMANENT_FAILED.
 LIST_STATUS = {
@@ -47,7 +48,8 @@ class Caller:
     def __call__(self, endpoint: str, params: dict[str, str]) -> tuple[bytes | None, list[dict]]:
         tries: list[dict] = []
         while True:
-            time.sleep(max(0.0, self.free_at - time.monotonic()))
+            if (wait := self.free_at - time.monotonic()) > 0:
+                time.sleep(wait)
             try:
                 status, body = self.send(endpoint, params)
                 result, reason = http_class(status), None if status == 200 else f"HTTP {status}"
@@ -60,19 +62,35 @@ class Caller:
             time.sleep(self.backoff * 2 ** (len(tries) - 1))
 
 
+def _batched(rows: Iterator[tuple], schema: pa.Schema, size: Callable[[tuple], int]) -> Iterator[pa.RecordBatch]:
+    """Rows in batches, closed at ``MOST_ROWS`` or when their ``size`` comes to ``MOST_BYTES``."""
+    held, taken = [], 0
+    for row in rows:
+        held.append(row)
+        taken += size(row)
+        if len(held) >= MOST_ROWS or taken >= MOST_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema, strict=True)], schema=schema)
+            held, taken = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema, strict=True)], schema=schema)
+
+
 def fetched(requests: DataFrame, transport: Transport, secret: str | None = None, **caller) -> DataFrame:
     """``request_key, content, outcome, tries`` of requests (``request_key, endpoint, params`` map). A failed request has no
     content. ``secret`` is blotted out wherever a body holds it, so that no stored reply carries a token."""
     schema = pa.schema([("request_key", pa.string()), ("content", pa.binary()), ("outcome", pa.string()), ("tries", pa.list_(_TRY))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def replies(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         call = Caller(transport(), **caller)
         for batch in batches:
             for key, endpoint, params in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 body, tries = call(endpoint, dict(params or {}))
                 if secret and body:
                     body = body.replace(secret.encode(), b"***")
-                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((key, body, tries[-1]["outcome"], tries), schema, strict=True)], schema=schema)
+                yield key, body, tries[-1]["outcome"], tries
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _batched(replies(batches), schema, lambda row: len(row[1] or b""))
 
     rows = requests.select(F.col("request_key").cast("string"), "endpoint", F.col("params").cast("map<string,string>"))
     return rows.mapInArrow(run, f"request_key string, content binary, outcome string, tries {TRIES}")
@@ -102,10 +120,8 @@ def listed_days(days: DataFrame, transport: Transport, endpoint: str, params: di
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = Caller(transport(), **caller)
-        for batch in batches:
-            for day in batch.column(0).to_pylist():
-                for row in pages(call, day):
-                    yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
+        days_of = (day for batch in batches for day in batch.column(0).to_pylist())
+        return _batched((row for day in days_of for row in pages(call, day)), schema, lambda row: sum(map(len, row[4])))
 
     return days.select(F.col("day").cast("string")).mapInArrow(run, f"day string, page int, source_result_code string, outcome string, items array<string>, tries {TRIES}")
 

@@ -4,11 +4,13 @@ import random
 from collections import Counter
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ledgerleaf.operators import joins
 from ledgerleaf.operators import rematch as rm
+from ledgerleaf.sources import collect as co
 
 
 def test_containing_streams_the_rows_of_equal_texts(spark):
@@ -69,3 +71,11 @@ def test_group_similarity_gives_every_pair(spark):
                 x, y = (None if s is None else set(s.split(" ")) for s in (n, m))
                 want.append((i, k, None if x is None or y is None else len(x & y) / len(x | y)))
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+
+
+def test_replies_go_to_spark_in_batches():
+    schema = pa.schema([("k", pa.int64()), ("body", pa.binary())])
+    many = list(co._batched(((i, b"x") for i in range(2500)), schema, lambda r: len(r[1])))
+    assert [b.num_rows for b in many] == [1000, 1000, 500] and [v for b in many for v in b.column(0).to_pylist()] == list(range(2500))
+    large = list(co._batched(((i, bytes(co.MOST_BYTES // 2)) for i in range(5)), schema, lambda r: len(r[1])))
+    assert [b.num_rows for b in large] == [2, 2, 1] and not list(co._batched(iter(()), schema, len))
