@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
@@ -13,6 +14,16 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from ..functions.text import digit_mask, strip
 
 PAGE_NUMBER = r"(?U)^[-\s]*\d+(\s*/\s*\d+)?[-\s]*$"
+#: Bytes of text that are cut into lines at once; a longer text is cut alone.
+SLICE_BYTES = 1 << 21
+
+
+def _slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``SLICE_BYTES`` of column ``text``."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = np.flatnonzero(np.diff(ends // SLICE_BYTES)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+        yield batch.slice(a, b - a)
 
 
 def text_lines(df: DataFrame, key: str, text: str = "text", separator: str = "\n") -> DataFrame:
@@ -21,7 +32,7 @@ def text_lines(df: DataFrame, key: str, text: str = "text", separator: str = "\n
     kind = df.schema[key].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (s for b in batches for s in _slices(b, 1)):
             pieces = [t.split(separator) if t is not None else [] for t in batch.column(1).to_pylist()]
             counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
             lines = [x for p in pieces for x in p]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ledgerleaf.operators import joins
+from ledgerleaf.operators import lines as ln
 from ledgerleaf.operators import rematch as rm
 from ledgerleaf.sources import collect as co
 
@@ -79,3 +80,13 @@ def test_replies_go_to_spark_in_batches():
     assert [b.num_rows for b in many] == [1000, 1000, 500] and [v for b in many for v in b.column(0).to_pylist()] == list(range(2500))
     large = list(co._batched(((i, bytes(co.MOST_BYTES // 2)) for i in range(5)), schema, lambda r: len(r[1])))
     assert [b.num_rows for b in large] == [2, 2, 1] and not list(co._batched(iter(()), schema, len))
+
+
+def test_texts_are_cut_in_slices_of_bounded_size():
+    texts = ["a" * 1_500_000, None, "b", "é" * 1_500_000, "", "c" * 5_000_000, "d"]
+    batch = pa.RecordBatch.from_pydict({"k": list(range(7)), "t": pa.array(texts, pa.string())})
+    slices = list(ln._slices(batch, 1))
+    assert [v for s in slices for v in s.column(1).to_pylist()] == texts and len(slices) > 2
+    sizes = [[len((t or "").encode()) for t in s.column(1).to_pylist()] for s in slices]
+    assert all(sum(n) - max(n) <= ln.SLICE_BYTES for n in sizes)
+    assert sum(s.num_rows for s in ln._slices(batch.slice(0, 0), 1)) == 0
